@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import packing, token_files
+from . import packing, quality, token_files
 
-QUERIES = [packing.op4_best_two_fit, token_files.op7_token_files]
-SQL: dict[str, str] = {}
+QUERIES = [packing.op4_best_two_fit, token_files.op7_token_files, quality.op10_quality]
+SQL: dict[str, str] = {"op10_quality": quality.SQL}
 
 
 def queries() -> dict:
