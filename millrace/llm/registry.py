@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import packing, quality, token_files
+from . import packing, quality, simhash, token_files
 
-QUERIES = [packing.op4_best_two_fit, token_files.op7_token_files, quality.op10_quality]
+QUERIES = [simhash.op3_simhash, packing.op4_best_two_fit, token_files.op7_token_files, quality.op10_quality]
 SQL: dict[str, str] = {"op10_quality": quality.SQL}
 
 
