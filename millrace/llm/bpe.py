@@ -3,25 +3,23 @@
 A byte-level BPE tokenizer splits a text into pieces (words with their leading blank, numbers,
 signs, white space) and encodes each on its own. A single blank or line feed between other
 characters always begins a new piece. ``Encoder`` therefore cuts a text at these, and keeps the ids
-of such units and of their pieces, up to a bound, to use them again. Texts with characters for which
-the splitting rule depends on the version of the Unicode tables, with a special token's string, or
-with adjacent white space are encoded whole by the library.
+of such units, up to a bound, to use them again. Texts with characters for which the splitting rule
+may depend on the version of the Unicode tables, with a special token's string, or with adjacent
+white space are encoded whole.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 from array import array
 
-#: The splitting rule of byte-level BPE with ``use_regex``.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
 #: A unit that matches sends its text to the library whole.
 ODD = r"[^\n\x20-\x7e\xa1-\u024f]|\A ?\Z"
 
-#: Units and pieces kept at most in the younger half of each store.
-KEPT = 500_000
+#: Units kept at most in the younger half of the store.
+KEPT = 700_000
 
 #: Characters of texts that are split at a time.
 SPAN = 2_000_000
@@ -33,18 +31,18 @@ class Encoder:
         import json
         import re
 
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept, self.units, self.pieces, self.old = kept, {}, {}, ({}, {})
-        self.find = regex.compile(PIECES).findall
+        #: Bytes of an id.
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kept, self.units, self.old = kept, {}, {}
         self.odd = re.compile(ODD).search
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec.get("added_tokens", ())) or "(?!)").search
-        self.by_piece = (
+        self.by_unit = (
             spec.get("normalizer") is None
             and spec.get("model", {}).get("type") == "BPE"
             and pre.get("type") == "ByteLevel"
@@ -53,10 +51,10 @@ class Encoder:
         )
 
     def whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, texts):
-        """Yields the ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        """Yields the ids of each text as little-endian unsigned integers of ``width`` bytes; null counts as empty."""
         span, size = [], 0
         for text in texts:
             span.append(text or "")
@@ -66,53 +64,44 @@ class Encoder:
                 span, size = [], 0
         yield from self._span(span)
 
-    def _span(self, texts: list[str]):
-        if not self.by_piece:
-            yield from map(self.whole, texts)
-            return
+    def _span(self, texts: list[str]) -> list[bytes]:
+        if not self.by_unit:
+            return [self.whole(t) for t in texts]
         if len(self.units) > self.kept:  # the younger half becomes the older one, and the older one goes
-            self.old, self.units, self.pieces = (self.units, self.pieces), {}, {}
-        cut = [None if self.special(t) else t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
-        units = self.units
-        self._add({u for c in cut if c for u in c if u not in units})
-        for text, c in zip(texts, cut):
-            if not text:
-                yield b""
-            elif c is None:
-                yield self.whole(text)
-            else:
+            self.old, self.units = self.units, {}
+        units, on = self.units, gc.isenabled()
+        gc.disable()  # many small objects are made here, and none in a cycle
+        try:
+            cut = [None if self.special(t) else t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
+            self._add({u for c in cut if c for u in c if u not in units})
+            out = []
+            for text, c in zip(texts, cut):
                 try:
-                    yield b"".join(map(units.__getitem__, c))
+                    out.append(b"".join(map(units.__getitem__, c)) if c and text else self.whole(text))
                 except KeyError:  # an odd unit, which is never kept
-                    yield self.whole(text)
+                    out.append(self.whole(text))
+            return out
+        finally:
+            if on:
+                gc.enable()
 
     def _add(self, new: set) -> None:
-        """Keeps the ids of new units."""
-        (old_units, old_pieces), units, pieces = self.old, self.units, self.pieces
-        split = {}
+        units, old, left = self.units, self.old, []
         for u in new:
-            if (ids := old_units.get(u)) is not None:
+            if (ids := old.get(u)) is not None:
                 units[u] = ids
             elif not self.odd(u):
-                split[u] = self.find(u)
-        left = []
-        for p in {p for c in split.values() for p in c}:
-            if p not in pieces:
-                if (ids := old_pieces.get(p)) is None:
-                    left.append(p)
-                else:
-                    pieces[p] = ids
-        for p, got in zip(left, self.tokenizer.encode_batch(left, add_special_tokens=False)):
-            pieces[p] = _packed(got.ids)
-        for u, c in split.items():
-            units[u] = pieces[c[0]] if len(c) == 1 else b"".join(map(pieces.__getitem__, c))
-
-
-def _packed(ids: list[int]) -> bytes:
-    out = array("I", ids)
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out.tobytes()
+                left.append(u)
+        for at in range(0, len(left), 20_000):
+            part = left[at : at + 20_000]
+            for u, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+                units[u] = self._packed(got.ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        out = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}

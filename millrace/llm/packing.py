@@ -72,11 +72,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
     def cut(batches):
         import pyarrow as pa
 
-        encoder, end = bpe.encoder(tokenizer), np.uint32(end_id).tobytes()
+        encoder = bpe.encoder(tokenizer)
         for batch in batches:
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                ids += end
+                ids = np.append(np.frombuffer(ids, dtype=f"<u{encoder.width}").astype("<u4"), np.uint32(end_id)).tobytes()
                 n = len(ids) // 4
                 first = n if n <= capacity else n % capacity or capacity
                 for i, start in enumerate([0, *range(first, n, capacity)]):

@@ -2,7 +2,8 @@
 
 A shard holds records in the framing ``length (u64) | masked crc32c of length (u32) | data |
 masked crc32c of data (u32)``, all little-endian. The data of a record is ``key (i64) | flags (u32)
-| ids (u32 each)``; flag 1 says that the key is null. Beside each shard lies an index of two u64
+| ids``, each of two bytes where the vocabulary allows, and of four else. Flag 1 says that the key is
+null, flag 2 that ids have four bytes. Beside each shard lies an index of two u64
 for every record, its offset and the length of its data, so that a reader can shuffle records with
 range reads and need not scan the shard.
 
@@ -105,18 +106,19 @@ def write(docs: DataFrame, work: Work, tokenizer: str, end_id: int, key: str = "
         from pyspark import TaskContext
 
         task, encoder = TaskContext.get(), bpe.encoder(tokenizer)
-        end, n_records, n_ids, at, index = struct.pack("<I", end_id), 0, 0, 0, []
+        wide = encoder.width == 4
+        end, n_records, n_ids, at, index = end_id.to_bytes(encoder.width, "little"), 0, 0, 0, []
         path = f"{folder}/shard-{task.partitionId():06d}-{uuid.uuid4().hex[:8]}.records"
         system, where = file_system(path)
         system.create_dir(where.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(where, buffer_size=1 << 20) as out:
             for batch in batches:
                 for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                    data = struct.pack(KEY, doc or 0, doc is None) + ids + end
+                    data = struct.pack(KEY, doc or 0, (doc is None) + 2 * wide) + ids + end
                     out.write(frame(data))
                     index.append((at, len(data)))
                     at += len(data) + 16
-                    n_records, n_ids = n_records + 1, n_ids + len(ids) // 4 + 1
+                    n_records, n_ids = n_records + 1, n_ids + len(ids) // encoder.width + 1
         with system.open_output_stream(f"{where}.index") as out:
             out.write(np.array(index, dtype="<u8").tobytes())
         if n_records:
@@ -155,9 +157,9 @@ def read(manifest: DataFrame, span: int = 4 << 20) -> DataFrame:
                         out = ([], [], [], [])
                         for offset, n in index[i:j].tolist():
                             data = unframe(buffer[offset - int(index[i, 0]) :][: n + 16], n)
-                            doc, null = struct.unpack_from(KEY, data)
-                            ids = data[struct.calcsize(KEY) :]
-                            for column, value in zip(out, (None if null & 1 else doc, start, len(ids) // 4, zlib.crc32(ids))):
+                            doc, flags = struct.unpack_from(KEY, data)
+                            ids = np.frombuffer(data, dtype="<u4" if flags & 2 else "<u2", offset=struct.calcsize(KEY)).astype("<u4").tobytes()
+                            for column, value in zip(out, (None if flags & 1 else doc, start, len(ids) // 4, zlib.crc32(ids))):
                                 column.append(value)
                             start += len(ids) // 4
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "n_tokens", "ids_crc32"])
