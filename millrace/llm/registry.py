@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, packing, quality, simhash, token_files
+from . import decontamination, line_dedup, packing, quality, simhash, token_files, zip_archive
 
-QUERIES = [line_dedup.op8_line_dedup, decontamination.op9_decontamination, simhash.op3_simhash, packing.op4_best_two_fit, token_files.op7_token_files, quality.op10_quality]
-SQL: dict[str, str] = {"op10_quality": quality.SQL, "op9_decontamination": decontamination.SQL}
+QUERIES = [zip_archive.op2_zip_warc, line_dedup.op8_line_dedup, decontamination.op9_decontamination, simhash.op3_simhash, packing.op4_best_two_fit, token_files.op7_token_files, quality.op10_quality]
+SQL: dict[str, str] = {"op10_quality": quality.SQL, "op9_decontamination": decontamination.SQL, "op2_zip_warc": zip_archive.SQL}
 
 
 def queries() -> dict:
