@@ -9,7 +9,7 @@ equal those of the one that stays.
 Lines end at ``\\n``; white space counts. Chunks that have no word are never removed. A text all of
 whose chunks are removed becomes empty, and stays as a row. Null texts stay null. Rows with equal
 doc_id and text count as one, and both keep their text; a null doc_id comes before others. An
-empty table gives no rows; extra columns are kept as they are.
+empty table gives no rows; extra columns are kept as they are, but for n_chars, which follows the text.
 """
 
 from __future__ import annotations
@@ -67,7 +67,10 @@ def dedup(docs: DataFrame, work: Work, report: bool = False) -> DataFrame:
     parts = F.filter(chunks(F.col("text")), lambda x, k: ~F.array_contains("_gone", k))
     left = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(parts), "\n"))
     if not report:
-        return joined.withColumn("text", left).select(*docs.columns)
+        out = joined.withColumn("text", left)
+        if "n_chars" in docs.columns:
+            out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        return out.select(*docs.columns)
     n = lambda t: F.coalesce(F.size(F.split(t, "\n", -1)), F.lit(0))
     removed = F.when(F.col("_gone").isNull(), 0).otherwise(n(F.col("text")) - F.size(F.flatten(parts)))
     return joined.select("doc_id", left.alias("text"), n(F.col("text")).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"), F.coalesce("_first", F.array().cast("array<bigint>")).alias("first_doc_ids"))
