@@ -28,7 +28,7 @@ from .components import connected
 SHINGLE = 3
 BUDGET = 2
 TOP = 16
-LEAF = 8192
+LEAF = 1 << 15
 #: Node pairs that are walked at a time within a group.
 FRONT = 1 << 20
 
@@ -168,25 +168,26 @@ def links(prints: DataFrame, work: Work, budget: int = BUDGET, leaf: int = LEAF)
     def deal(batches):
         import pyarrow as pa
 
+        # what a task has for one side of a node pair travels in one row
         for batch in batches:
             f = batch.column(0).to_numpy()
             of = leaf_of[(f.view(np.uint64) >> np.uint64(64 - TOP)).astype(np.int64)]
             for k in np.unique(of):
-                mine = f[of == k]
-                pair, side = np.repeat(groups[k], len(mine), axis=0).T
-                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(side), pa.array(np.tile(mine, len(groups[k])))], names=["pair", "side", "f"])
+                pair, side = groups[k].T
+                mine = f[of == k].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(side), pa.array([mine] * len(pair), pa.binary())], names=["pair", "side", "f"])
 
     def walk(batch):
         import pyarrow as pa
 
-        side = batch.column("side").to_numpy()
-        values = batch.column("f").to_numpy().view(np.uint64)
-        f, g = np.sort(values[side == 0]), np.sort(values[side == 1])
-        same = not len(g)
-        u, v = trie_links(f, f if same else g, same, budget)
+        both = ([], [])
+        for side, f in zip(batch.column("side").to_pylist(), batch.column("f").to_pylist()):
+            both[side].append(np.frombuffer(f, dtype=np.uint64))
+        f, g = (np.sort(np.concatenate(x)) if x else np.zeros(0, np.uint64) for x in both)
+        u, v = trie_links(f, f, True, budget) if not both[1] else trie_links(f, g, False, budget)
         return pa.table({"u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64))})
 
-    return prints.mapInArrow(deal, "pair long, side long, f long").groupBy("pair").applyInArrow(walk, "u long, v long")
+    return prints.mapInArrow(deal, "pair long, side long, f binary").groupBy("pair").applyInArrow(walk, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, work: Work, budget: int = BUDGET) -> DataFrame:
