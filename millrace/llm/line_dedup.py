@@ -54,7 +54,7 @@ def repeats(docs: DataFrame, work: Work) -> DataFrame:
     place = F.struct("doc_id", "row", "k")
     twice = _exploded(docs).groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("h", "first")
     twice = work.write(twice, "twice")
-    rows = work.write(_exploded(docs).join(twice, "h").select("h", "doc_id", "row", "k", "chunk", "first"), "chunks")
+    rows = work.write(_exploded(docs).join(twice.hint("merge"), "h").select("h", "doc_id", "row", "k", "chunk", "first"), "chunks")
     stays = rows.filter((F.col("row") == F.col("first.row")) & (F.col("k") == F.col("first.k"))).groupBy("h").agg(F.min("chunk").alias("kept"))
     return rows.filter((F.col("row") != F.col("first.row")) | (F.col("k") != F.col("first.k"))).join(stays, "h").filter("chunk = kept").select("row", "k", F.col("first.doc_id").alias("first_doc_id"))
 
@@ -63,7 +63,7 @@ def dedup(docs: DataFrame, work: Work, report: bool = False) -> DataFrame:
     """The documents with repeated chunks removed. ``report``: with n_lines, n_removed (lines) and first_doc_ids."""
     gone = repeats(docs, work).distinct().groupBy("row").agg(F.collect_list("k").alias("_gone"), F.array_sort(F.collect_set("first_doc_id")).alias("_first"))
     gone = work.write(gone, "gone")
-    joined = docs.withColumn("_row", row_key(docs)).join(gone.withColumnRenamed("row", "_key"), F.col("_row") == F.col("_key"), "left")
+    joined = docs.withColumn("_row", row_key(docs)).join(gone.withColumnRenamed("row", "_key").hint("merge"), F.col("_row") == F.col("_key"), "left")
     parts = F.filter(chunks(F.col("text")), lambda x, k: ~F.array_contains("_gone", k))
     left = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(parts), "\n"))
     if not report:
