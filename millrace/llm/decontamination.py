@@ -88,7 +88,7 @@ def contaminated(docs: DataFrame, items: DataFrame, work: Work, threshold: float
 def clean(docs: DataFrame, items: DataFrame, work: Work) -> DataFrame:
     """The documents that hold no item; columns as they were."""
     bad = work.write(contaminated(docs, items, work).select(F.col("doc_id").alias("_id")).distinct(), "bad")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
+    return docs.join(bad.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -179,7 +179,7 @@ def marks(docs: DataFrame, work: Work) -> DataFrame:
     named = distinct.select("unit", "first", "last").join(found, F.col("unit") == F.col("node"), "left").select("unit", "first", "last", F.coalesce("component", "unit").alias("component"))
     groups = named.groupBy("component").agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first <> last")
     of = work.write(named.select("unit", "component").join(groups, "component").select("unit", "first"), "classes")
-    rows = units.drop("bands", "shingles").distinct().join(of, "unit")
+    rows = units.drop("bands", "shingles").distinct().join(of.hint("merge"), "unit")
     # neighbouring repeated paragraphs make a run
     by_row = Window.partitionBy("row").orderBy("k")
     rows = rows.withColumn("run", F.col("k") - F.row_number().over(by_row))
@@ -198,7 +198,7 @@ def report(docs: DataFrame, work: Work) -> DataFrame:
     )
     found = work.write(found, "marks").withColumnRenamed("row", "_row")
     n = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long")
-    rows = docs.select("doc_id", n.alias("n_words"), row_key(docs).alias("row")).join(found, F.col("row") == F.col("_row"), "left")
+    rows = docs.select("doc_id", n.alias("n_words"), row_key(docs).alias("row")).join(found.hint("merge"), F.col("row") == F.col("_row"), "left")
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_repeated", "n_removed", "n_paragraphs_removed")]
     return rows.select("doc_id", "n_words", *zero, F.coalesce("first_doc_ids", F.array().cast("array<bigint>")).alias("first_doc_ids"))
 
@@ -220,7 +220,7 @@ def dedup(docs: DataFrame, work: Work) -> DataFrame:
             at = words[last].start() if last < len(words) else len(text)
         return "".join([*out, text[at:]])
 
-    joined = docs.withColumn("_key", row_key(docs)).join(gone, F.col("_key") == F.col("_row"), "left")
+    joined = docs.withColumn("_key", row_key(docs)).join(gone.hint("merge"), F.col("_key") == F.col("_row"), "left")
     return joined.withColumn("text", cut("text", "_gone")).select(*docs.columns)
 
 

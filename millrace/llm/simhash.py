@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, work: Work, budget: int = BUDGET) -> DataFr
 def keep_one(docs: DataFrame, work: Work) -> DataFrame:
     """The documents without those that are near another with a smaller doc_id; columns as they were."""
     kept = work.write(near_duplicates(docs, work).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct(), "kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

@@ -193,7 +193,7 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
                 spans = [s if k else None for s, k in zip(spans, held(several, key).tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(signed(context)), pa.array(np.full(len(at), row)), pa.array(first), pa.array(last), pa.array(spans, pa.binary())], names=["key", "context", "row", "first", "last", "span"])
 
-    rows = text.mapInArrow(places, "key long, context long, row long, first long, last long, span binary").join(twice, "key")
+    rows = text.mapInArrow(places, "key long, context long, row long, first long, last long, span binary").join(twice.hint("merge"), "key")
     rows = work.write(rows, "places")
     whole = rows.filter("not several").select("row", "first", "last")
     strings = rows.filter("several").groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"))
@@ -226,7 +226,7 @@ def dedup(docs: DataFrame, work: Work, need: int = NEED, text: bool = False) ->
     spans = windows(docs, work, need).distinct().groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     spans = work.write(spans, "spans").withColumnRenamed("row", "_row")
     joined = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("b"), row_key(docs).alias("row"))
-    joined = joined.join(spans, F.col("row") == F.col("_row"), "left").select("doc_id", "b", "spans")
+    joined = joined.join(spans.hint("merge"), F.col("row") == F.col("_row"), "left").select("doc_id", "b", "spans")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * text
 
     def cut(batches):

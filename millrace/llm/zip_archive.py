@@ -107,7 +107,7 @@ def write(pages: DataFrame, work: Work, least: int = 0) -> DataFrame:
     first = work.write(first_pages(pages, least), "first")
     rows = pages.select("page_id", "url", _payload().alias("html")).withColumn("d", F.sha2("html", 256))
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("first")), F.col("first"))
-    rows = rows.join(first, "d", "left").select(F.col("page_id").cast("long"), "url", "html", refers.cast("long").alias("refers_to"))
+    rows = rows.join(first.hint("merge"), "d", "left").select(F.col("page_id").cast("long"), "url", "html", refers.cast("long").alias("refers_to"))
 
     def put(batches):
         import pyarrow as pa
