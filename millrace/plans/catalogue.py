@@ -44,8 +44,11 @@ def join_agg_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from millrace.plans import aggregation, modifying, relational, scalar  # noqa: F401  they register theirs
+
     return {name: f for name, (f, _) in _FOUND.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return {name: sql for name, (_, sql) in _FOUND.items() if sql is not None}
