@@ -19,7 +19,7 @@ from array import array
 ODD = r"[^\n\x20-\x7e\xa1-\u024f]|\A ?\Z"
 
 #: Units kept at most in the younger half of the store.
-KEPT = 700_000
+KEPT = 1_000_000
 
 #: Characters of texts that are split at a time.
 SPAN = 2_000_000

@@ -14,6 +14,7 @@ no records. Extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import uuid
 import zlib
@@ -60,40 +61,54 @@ def _apply(t: np.ndarray, crc: np.ndarray) -> np.ndarray:
 
 
 def crc32c(data: bytes) -> int:
-    """CRC-32C: words side by side, then joined pairwise, so that numpy does the work."""
-    n = len(data)
-    if n < 4:
-        crc = 0xFFFFFFFF
-        for b in data:
-            crc = int(_T[(crc ^ b) & 255]) ^ (crc >> 8)
-        return crc ^ 0xFFFFFFFF
-    levels = max(0, (n - 1).bit_length() - 2)
-    size = 4 << levels
-    a = np.zeros(size, dtype=np.uint8)
-    a[size - n :] = np.frombuffer(data, dtype=np.uint8)
-    a[size - n : size - n + 4] ^= 255  # the start value, as leading zeros leave a checksum of zero alone
-    crc = _apply(_shift_tables(2), a.view("<u4"))
-    for k in range(levels):
-        crc = _apply(_shift_tables(2 + k), crc[0::2]) ^ crc[1::2]
-    return int(crc[0]) ^ 0xFFFFFFFF
-
-
-def masked(data: bytes) -> int:
-    crc = crc32c(data)
-    return (((crc >> 15) | (crc << 17)) + MASK_DELTA) & 0xFFFFFFFF
-
-
-def frame(data: bytes) -> bytes:
-    n = struct.pack("<Q", len(data))
-    return b"".join((n, struct.pack("<I", masked(n)), data, struct.pack("<I", masked(data))))
-
-
-def unframe(buffer: bytes, length: int) -> bytes:
-    """The data of the record at the start of a buffer; ValueError if a checksum is wrong."""
-    n, crc = struct.unpack_from(HEAD, buffer)
-    data = bytes(buffer[12 : 12 + length])
-    if n != length or crc != masked(buffer[:8]) or struct.unpack_from("<I", buffer, 12 + n)[0] != masked(data):
-        raise ValueError("a record's checksum is wrong")
+    return int(crc32c_many([data])[0])
+
+
+def crc32c_many(parts: list[bytes]) -> np.ndarray:
+    """CRC-32C of each part. Parts of like size go side by side, and 4-byte words are joined pairwise."""
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    levels = np.array([max(0, (n - 1).bit_length() - 2) if n >= 4 else -1 for n in sizes.tolist()])
+    out = np.zeros(len(parts), dtype=np.uint32)
+    for level in np.unique(levels).tolist():
+        mine = np.flatnonzero(levels == level)
+        if level < 0:
+            for i in mine.tolist():
+                crc = 0xFFFFFFFF
+                for x in parts[i]:
+                    crc = int(_T[(crc ^ x) & 255]) ^ (crc >> 8)
+                out[i] = crc ^ 0xFFFFFFFF
+            continue
+        width = 4 << level
+        step = max(1, (1 << 22) // width)
+        for at in range(0, len(mine), step):
+            rows = mine[at : at + step]
+            a = np.zeros((len(rows), width), dtype=np.uint8)
+            for k, i in enumerate(rows.tolist()):
+                n = int(sizes[i])
+                a[k, width - n :] = np.frombuffer(parts[i], dtype=np.uint8)
+                a[k, width - n : width - n + 4] ^= 255  # the start value: leading zeros leave a checksum of zero alone
+            crc = _apply(_shift_tables(2), a.view("<u4"))
+            for k in range(level):
+                crc = _apply(_shift_tables(2 + k), crc[:, 0::2]) ^ crc[:, 1::2]
+            out[rows] = crc[:, 0] ^ np.uint32(0xFFFFFFFF)
+    return out
+
+
+def masked(parts: list[bytes]) -> list[int]:
+    return [((((c >> 15) | (c << 17)) & 0xFFFFFFFF) + MASK_DELTA) & 0xFFFFFFFF for c in crc32c_many(parts).tolist()]
+
+
+def frames(records: list[bytes]) -> list[bytes]:
+    heads = [struct.pack("<Q", len(r)) for r in records]
+    return [b"".join((h, struct.pack("<I", a), r, struct.pack("<I", b))) for h, a, r, b in zip(heads, masked(heads), records, masked(records))]
+
+
+def unframe(framed: list[bytes]) -> list[bytes]:
+    """The data of whole framed records; ValueError if a length or a checksum is wrong."""
+    heads, data = [bytes(f[:8]) for f in framed], [bytes(f[12:-4]) for f in framed]
+    for f, h, d, a, b in zip(framed, heads, data, masked(heads), masked(data)):
+        if struct.unpack("<Q", h)[0] != len(d) or struct.unpack_from("<I", f, 8)[0] != a or struct.unpack_from("<I", f, len(f) - 4)[0] != b:
+            raise ValueError("a record's length or checksum is wrong")
     return data
 
 
@@ -113,12 +128,14 @@ def write(docs: DataFrame, work: Work, tokenizer: str, end_id: int, key: str = "
         system.create_dir(where.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(where, buffer_size=1 << 20) as out:
             for batch in batches:
-                for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                    data = struct.pack(KEY, doc or 0, (doc is None) + 2 * wide) + ids + end
-                    out.write(frame(data))
-                    index.append((at, len(data)))
-                    at += len(data) + 16
-                    n_records, n_ids = n_records + 1, n_ids + len(ids) // encoder.width + 1
+                texts = zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()))
+                while group := list(itertools.islice(texts, 500)):
+                    records = [struct.pack(KEY, doc or 0, (doc is None) + 2 * wide) + ids + end for doc, ids in group]
+                    for framed in frames(records):
+                        out.write(framed)
+                        index.append((at, len(framed) - 16))
+                        at += len(framed)
+                    n_records, n_ids = n_records + len(group), n_ids + sum(len(ids) // encoder.width + 1 for _, ids in group)
         with system.open_output_stream(f"{where}.index") as out:
             out.write(np.array(index, dtype="<u8").tobytes())
         if n_records:
@@ -155,8 +172,8 @@ def read(manifest: DataFrame, span: int = 4 << 20) -> DataFrame:
                         j = max(i + 1, int(np.searchsorted(index[:, 0], index[i, 0] + span)))
                         buffer = memoryview(f.read_at(int(index[j - 1].sum() + 16 - index[i, 0]), int(index[i, 0])))
                         out = ([], [], [], [])
-                        for offset, n in index[i:j].tolist():
-                            data = unframe(buffer[offset - int(index[i, 0]) :][: n + 16], n)
+                        base = int(index[i, 0])
+                        for data in unframe([buffer[o - base : o - base + n + 16] for o, n in index[i:j].tolist()]):
                             doc, flags = struct.unpack_from(KEY, data)
                             ids = np.frombuffer(data, dtype="<u4" if flags & 2 else "<u2", offset=struct.calcsize(KEY)).astype("<u4").tobytes()
                             for column, value in zip(out, (None if flags & 1 else doc, start, len(ids) // 4, zlib.crc32(ids))):
