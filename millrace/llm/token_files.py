@@ -40,24 +40,24 @@ def _byte_table() -> np.ndarray:
 
 
 _T = _byte_table()
-#: _SHIFT[k]: four tables that append 2**k zero bytes to a checksum, by the bytes of the checksum.
+#: _SHIFT[k]: two tables that append 2**k zero bytes to a checksum, by its lower and its upper half.
 _SHIFT: list[np.ndarray] = []
 
 
 def _shift_tables(k: int) -> np.ndarray:
     while len(_SHIFT) <= k:
         if not _SHIFT:
-            v = np.arange(256, dtype=np.uint32)
-            t = np.stack([_T[v], v, v << 8, v << 16])  # one zero byte: T[low byte] ^ (crc >> 8)
+            v = np.arange(1 << 16, dtype=np.uint32)
+            t = np.stack([_T[v & 255] ^ (v >> 8), v << 8])  # one zero byte: T[low byte] ^ (crc >> 8)
         else:
-            last = _SHIFT[-1]
-            t = np.stack([_apply(last, last[i]) for i in range(4)])
+            t = np.stack([_apply(_SHIFT[-1], _SHIFT[-1][i]) for i in range(2)])
         _SHIFT.append(t.astype(np.uint32))
     return _SHIFT[k]
 
 
 def _apply(t: np.ndarray, crc: np.ndarray) -> np.ndarray:
-    return t[0][crc & 255] ^ t[1][(crc >> 8) & 255] ^ t[2][(crc >> 16) & 255] ^ t[3][crc >> 24]
+    half = np.ascontiguousarray(crc, dtype="<u4").view("<u2")
+    return t[0].take(half[..., 0::2]) ^ t[1].take(half[..., 1::2])
 
 
 def crc32c(data: bytes) -> int:
