@@ -102,7 +102,12 @@ def pricing_summary(spark, d):
 
 # --- windows
 
-_BY = W.partitionBy("user_id").orderBy("event_id")
+
+
+def _by():
+    return W.partitionBy("user_id").orderBy("event_id")
+
+
 _IN = "OVER (PARTITION BY user_id ORDER BY event_id)"
 
 
@@ -110,22 +115,22 @@ _IN = "OVER (PARTITION BY user_id ORDER BY event_id)"
 def win_rank(spark, d):
     by_type = W.partitionBy("user_id").orderBy("event_type")
     big = lambda c: c.cast("bigint")
-    return table(spark, d, "events").select("event_id", big(F.row_number().over(_BY)).alias("rn"), big(F.rank().over(by_type)).alias("rk"), big(F.dense_rank().over(by_type)).alias("dr"), big(F.ntile(4).over(_BY)).alias("nt"))
+    return table(spark, d, "events").select("event_id", big(F.row_number().over(_by())).alias("rn"), big(F.rank().over(by_type)).alias("rk"), big(F.dense_rank().over(by_type)).alias("dr"), big(F.ntile(4).over(_by())).alias("nt"))
 
 
 @query(f"SELECT event_id, lag(value, 1, -1) {_IN} AS before, lead(value, 2, -1) {_IN} AS after FROM events")
 def win_lag_lead(spark, d):
-    return table(spark, d, "events").select("event_id", F.lag("value", 1, -1.0).over(_BY).alias("before"), F.lead("value", 2, -1.0).over(_BY).alias("after"))
+    return table(spark, d, "events").select("event_id", F.lag("value", 1, -1.0).over(_by()).alias("before"), F.lead("value", 2, -1.0).over(_by()).alias("after"))
 
 
 @query(f"SELECT event_id, first_value(value) {_IN} AS f, last_value(value) {_IN} AS l, nth_value(value, 3) {_IN} AS n3 FROM events")
 def win_first_last_nth(spark, d):
-    return table(spark, d, "events").select("event_id", F.first_value("value").over(_BY).alias("f"), F.last_value("value").over(_BY).alias("l"), F.nth_value("value", 3).over(_BY).alias("n3"))
+    return table(spark, d, "events").select("event_id", F.first_value("value").over(_by()).alias("f"), F.last_value("value").over(_by()).alias("l"), F.nth_value("value", 3).over(_by()).alias("n3"))
 
 
 @query("SELECT event_id, round(sum(value) OVER w, 4) AS s, round(avg(value) OVER w, 4) AS a, count(value) OVER w AS c, min(value) OVER w AS lo, max(value) OVER w AS hi FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 3 PRECEDING AND 1 FOLLOWING)")
 def win_agg_frames(spark, d):
-    w = _BY.rowsBetween(-3, 1)
+    w = _by().rowsBetween(-3, 1)
     return table(spark, d, "events").select("event_id", F.round(F.sum("value").over(w), 4).alias("s"), F.round(F.avg("value").over(w), 4).alias("a"), F.count("value").over(w).alias("c"), F.min("value").over(w).alias("lo"), F.max("value").over(w).alias("hi"))
 
 
@@ -145,7 +150,7 @@ def win_share(spark, d):
 def win_percent_rank(spark, d):
     # one window has no partition, so it takes the few rows of a few users only
     e = table(spark, d, "events").filter("user_id < 5")
-    return e.select("event_id", F.round(F.percent_rank().over(W.orderBy("event_id")), 6).alias("pr"), F.round(F.cume_dist().over(_BY), 6).alias("cd"))
+    return e.select("event_id", F.round(F.percent_rank().over(W.orderBy("event_id")), 6).alias("pr"), F.round(F.cume_dist().over(_by()), 6).alias("cd"))
 
 
 # --- recipes

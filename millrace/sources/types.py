@@ -148,7 +148,7 @@ def parse(text: str, strict: bool = False) -> SqlType:
     text = text.strip()
     m = re.fullmatch(r"(\w+)\s*(?:\((.*)\))?", text, re.S)
     if not m:
-        if strict or not text:
+        if strict or not text or "(" in text or ")" in text:
             raise TypeParseError(f"not a type: {text!r}")
         return SqlType(text)
     name, raw = m[1], m[2]
