@@ -92,6 +92,16 @@ def row_key(df: DataFrame, text: str = "text") -> Column:
     return F.xxhash64(F.col("doc_id"), F.col(text))
 
 
+def boxed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns that an operator needs, and all columns in one struct ``_d``, so that extra names can't clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d"), *needed)
+
+
+def unboxed(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns that were boxed, some of them replaced."""
+    return rows.select(*[(new[c] if c in new else F.col("_d").getField(c)).alias(c) for c in columns])
+
+
 # --- files that tasks write and read themselves -------------------------------------------------
 
 

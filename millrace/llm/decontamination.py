@@ -22,7 +22,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, let, row_key, table
+from .common import Work, boxed, let, row_key, table, unboxed
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -71,8 +71,8 @@ def sketch(items: DataFrame, work: Work) -> tuple[DataFrame, DataFrame, int]:
     return rows, sample, rows.count()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, work: Work, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, n_shared, n_shingles and containment of every pair at or above the threshold."""
+def pairs(docs: DataFrame, items: DataFrame, work: Work, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, row, item, n_shared, n_shingles and n_items of every pair at or above the threshold."""
     rows, sample, n = sketch(items, work)
     small = (lambda df: F.broadcast(df)) if n <= BROADCAST else (lambda df: df)
     held = docs.select("doc_id", row_key(docs).alias("row"), F.explode(F.array_distinct(shingles(F.col("text")))).alias("h"))
@@ -80,15 +80,20 @@ def contaminated(docs: DataFrame, items: DataFrame, work: Work, threshold: float
     found = work.write(hits.filter("hits >= least").select("row", "item"), "candidates")
     # verification, on the whole shingle sets of candidates
     again = held.join(small(rows), "h").groupBy("doc_id", "row", "item").agg(F.count(F.lit(1)).alias("n_shared"), F.first("n").alias("n_shingles"), F.first("n_items").alias("n_items"))
-    exact = again.filter(F.col("n_shared") >= threshold * F.col("n_shingles")).join(found, ["row", "item"], "left_semi")
-    best = exact.groupBy("doc_id", F.col("item").alias("item_id")).agg(*[F.max(c).cast("long").alias(c) for c in ("n_shared", "n_shingles", "n_items")])
+    return again.filter(F.col("n_shared") >= threshold * F.col("n_shingles")).join(found, ["row", "item"], "left_semi")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, work: Work, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, item_id, n_shared, n_shingles, n_items and containment of every pair at or above the threshold."""
+    best = pairs(docs, items, work, threshold).groupBy("doc_id", F.col("item").alias("item_id")).agg(*[F.max(c).cast("long").alias(c) for c in ("n_shared", "n_shingles", "n_items")])
     return best.withColumn("containment", F.round(F.col("n_shared") / F.col("n_shingles"), 6))
 
 
 def clean(docs: DataFrame, items: DataFrame, work: Work) -> DataFrame:
     """The documents that hold no item; columns as they were."""
-    bad = work.write(contaminated(docs, items, work).select(F.col("doc_id").alias("_id")).distinct(), "bad")
-    return docs.join(bad.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
+    bad = work.write(pairs(docs, items, work).select("row").distinct(), "bad")
+    rows = boxed(docs, "doc_id", "text").withColumn("_key", row_key(docs))
+    return unboxed(rows.join(bad.hint("merge"), F.col("_key") == F.col("row"), "left_anti"), docs.columns)
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, let, row_key, table
+from .common import Work, boxed, let, row_key, table, unboxed
 
 SPAN = 2
 RATE = 3
@@ -63,14 +63,14 @@ def dedup(docs: DataFrame, work: Work, report: bool = False) -> DataFrame:
     """The documents with repeated chunks removed. ``report``: with n_lines, n_removed (lines) and first_doc_ids."""
     gone = repeats(docs, work).distinct().groupBy("row").agg(F.collect_list("k").alias("_gone"), F.array_sort(F.collect_set("first_doc_id")).alias("_first"))
     gone = work.write(gone, "gone")
-    joined = docs.withColumn("_row", row_key(docs)).join(gone.withColumnRenamed("row", "_key").hint("merge"), F.col("_row") == F.col("_key"), "left")
+    joined = boxed(docs, "doc_id", "text").withColumn("_row", row_key(docs)).join(gone.withColumnRenamed("row", "_key").hint("merge"), F.col("_row") == F.col("_key"), "left")
     parts = F.filter(chunks(F.col("text")), lambda x, k: ~F.array_contains("_gone", k))
     left = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(parts), "\n"))
     if not report:
-        out = joined.withColumn("text", left)
+        new = {"text": left}
         if "n_chars" in docs.columns:
-            out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-        return out.select(*docs.columns)
+            new["n_chars"] = F.when(F.col("_gone").isNull(), F.col("_d.n_chars")).otherwise(F.length(left).cast(docs.schema["n_chars"].dataType))
+        return unboxed(joined, docs.columns, **new)
     n = lambda t: F.coalesce(F.size(F.split(t, "\n", -1)), F.lit(0))
     removed = F.when(F.col("_gone").isNull(), 0).otherwise(n(F.col("text")) - F.size(F.flatten(parts)))
     return joined.select("doc_id", left.alias("text"), n(F.col("text")).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"), F.coalesce("_first", F.array().cast("array<bigint>")).alias("first_doc_ids"))

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Work, row_key, table
+from .common import Work, boxed, row_key, table, unboxed
 from .components import connected
 
 RADIUS = 5
@@ -220,8 +220,8 @@ def dedup(docs: DataFrame, work: Work) -> DataFrame:
             at = words[last].start() if last < len(words) else len(text)
         return "".join([*out, text[at:]])
 
-    joined = docs.withColumn("_key", row_key(docs)).join(gone.hint("merge"), F.col("_key") == F.col("_row"), "left")
-    return joined.withColumn("text", cut("text", "_gone")).select(*docs.columns)
+    joined = boxed(docs, "doc_id", "text").withColumn("_key", row_key(docs)).join(gone.hint("merge"), F.col("_key") == F.col("_row"), "left")
+    return unboxed(joined, docs.columns, text=cut("text", "_gone"))
 
 
 def op1_paragraph_dedup(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, let, table, words
+from .common import Work, boxed, let, table, unboxed, words
 
 SIGNS = "[#*$%&|<>]"
 WINDOW = 5
@@ -110,7 +110,8 @@ def verdicts(docs: DataFrame, work: Work) -> DataFrame:
 def keep(docs: DataFrame, work: Work) -> DataFrame:
     """The documents that pass, with their columns."""
     # a filter over a column that is not deterministic stays above it, and the measures are made once
-    return judged(docs, work).withColumn("_place", F.monotonically_increasing_id()).filter(F.col("kept") & (F.col("_place") >= 0)).select(*docs.columns)
+    rows = judged(boxed(docs, "text", "lang", "source"), work).withColumn("_place", F.monotonically_increasing_id())
+    return unboxed(rows.filter(F.col("kept") & (F.col("_place") >= 0)), docs.columns)
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, table
+from .common import Work, boxed, row_key, table, unboxed
 from .components import connected
 
 SHINGLE = 3
@@ -54,16 +54,16 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and f, the fingerprint as a signed 64-bit number."""
+    """doc_id, key (of the row) and f, the fingerprint as a signed 64-bit number."""
 
     def make(batches):
         import pyarrow as pa
 
         for batch in batches:
             f = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f)], names=["doc_id", "f"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(f)], names=["doc_id", "key", "f"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, f long")
+    return docs.select(F.col("doc_id").cast("long"), "text", row_key(docs)).mapInArrow(make, "doc_id long, key long, f long")
 
 
 def top_pairs(counts: dict[int, int], bits: int, leaf: int, budget: int) -> list[tuple[int, int, int, int]]:
@@ -190,21 +190,26 @@ def links(prints: DataFrame, work: Work, budget: int = BUDGET, leaf: int = LEAF)
     return prints.mapInArrow(deal, "pair long, side long, f binary").groupBy("pair").applyInArrow(walk, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, work: Work, budget: int = BUDGET) -> DataFrame:
-    """doc_id, fingerprint and component_id of every row."""
+def near_duplicates(docs: DataFrame, work: Work, budget: int = BUDGET, keyed: bool = False) -> DataFrame:
+    """doc_id, fingerprint and component_id of every row; ``keyed``: and its row key."""
     rows = work.write(fingerprints(docs), "fingerprints")
     prints = work.write(rows.groupBy("f").agg(F.min("doc_id").alias("least")), "distinct")
     found = connected(links(prints, work, budget), work)
     named = prints.join(found, F.col("f") == F.col("node"), "left").select("f", "least", F.coalesce("component", "f").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of = work.write(named.join(least, "component").select("f", "component_id"), "components")
-    return rows.join(of, "f").select("doc_id", F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"), "component_id")
+    return rows.join(of, "f").select("doc_id", F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"), "component_id", *["key"] * keyed)
 
 
 def keep_one(docs: DataFrame, work: Work) -> DataFrame:
-    """The documents without those that are near another with a smaller doc_id; columns as they were."""
-    kept = work.write(near_duplicates(docs, work).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct(), "kept")
-    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+    """The documents without those that are near another with a smaller doc_id; columns as they were.
+
+    Rows without a doc_id stay, and so do all rows that have the doc_id that stays.
+    """
+    near = near_duplicates(docs.select("doc_id", "text"), work, keyed=True)
+    gone = work.write(near.filter("doc_id <> component_id").select("key").distinct(), "gone")
+    rows = boxed(docs, "doc_id", "text").withColumn("_key", row_key(docs))
+    return unboxed(rows.join(gone.hint("merge"), F.col("_key") == F.col("key"), "left_anti"), docs.columns)
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
