@@ -35,7 +35,8 @@ NEED = 200
 GRAM = 32
 #: Strings of a collection that are built at a time, at least where one anchor has no more.
 BATCH = 4096
-END = 255  # no byte of UTF-8
+#: Bytes of a symbol, where strings share an anchor.
+STEP = 8
 PLACE = 20
 _P = 0x9E3779B97F4A7C15 | 1
 
@@ -72,25 +73,49 @@ def _anchors(b: np.ndarray, need: int, base: int):
     return at[first] + base, h[at[first]], first + base, last + base
 
 
-def repeated(strings: list[bytes], counts, need: int = NEED) -> list[np.ndarray]:
-    """Of each string: for every start of a window of ``need`` bytes, whether that window occurs again in the collection."""
+def repeated(strings: list[bytes], counts, need: int = NEED, places=None) -> list[np.ndarray]:
+    """Of each string: for every start of a window of ``need`` bytes, whether that window occurs again in the collection.
+
+    ``places``: a byte of each string that stands at the same place in all equal windows (the anchor). Then
+    ``STEP`` bytes make a symbol, cut at these places, and the construction runs once for each of
+    the ``STEP`` shifts: every window is a run of whole symbols in one of them, and the work, which grows with
+    the square of a string's symbols, falls to a part. Without places a byte is a symbol.
+    """
+    out = [np.full(len(s) - need + 1, n > 1) for s, n in zip(strings, counts)]
+    step = STEP if places is not None and need % STEP == 0 else 1
+    for shift in range(step):
+        starts = [(p + shift) % step for p in places] if places is not None and step > 1 else [0] * len(strings)
+        cut = [np.frombuffer(s[a : a + (len(s) - a) // step * step], dtype=f"<u{step}") for s, a in zip(strings, starts)]
+        some = [i for i, c in enumerate(cut) if len(c) >= need // step]
+        if not some:
+            continue
+        values, symbols = np.unique(np.concatenate([cut[i] for i in some]), return_inverse=True)
+        kind = np.uint8 if len(values) < 255 else np.uint16 if len(values) < 65535 else np.uint32
+        symbols = np.split(symbols.astype(kind), np.cumsum([len(cut[i]) for i in some])[:-1])
+        for i, flags in zip(some, _construct(symbols, need // step, np.iinfo(kind).max)):
+            out[i][starts[i] :: step][: len(flags)] |= flags
+    return out
+
+
+def _construct(strings: list[np.ndarray], need: int, end: int) -> list[np.ndarray]:
+    """The construction over strings of symbols below ``end``: which windows of ``need`` symbols occur again."""
     m, lengths = len(strings), np.array([len(s) for s in strings])
     most = int(lengths.max())
-    columns = np.full((most + 1, m), END, dtype=np.uint8)  # column k: the symbols k places before the ends
+    columns = np.full((most + 1, m), end, dtype=strings[0].dtype)  # column k: the symbols k places before the ends
     for i, s in enumerate(strings):
-        columns[: len(s), i] = np.frombuffer(s, dtype=np.uint8)[::-1]
+        columns[: len(s), i] = s[::-1]
     bwt, common, at = columns[0].copy(), np.zeros(m, dtype=np.uint8), np.arange(m)
     for k in range(1, most + 1):
         on = np.flatnonzero(lengths >= k)
         order = np.argsort(bwt, kind="stable")
-        valid = len(bwt) - int((bwt == END).sum())
+        valid = len(bwt) - int(np.count_nonzero(bwt == end))
         to = np.empty(len(bwt), dtype=np.int64)
         to[order] = np.arange(len(bwt))
         new = m + to[at[on]]
         size = len(bwt) + len(on)
         old = np.ones(size, dtype=bool)
         old[new] = False
-        merged, prefixes = np.empty(size, dtype=np.uint8), np.empty(size, dtype=np.uint8)
+        merged, prefixes = np.empty(size, dtype=bwt.dtype), np.empty(size, dtype=np.uint8)
         merged[old], prefixes[old] = bwt, common
         merged[new] = columns[k, on]
         # the common prefixes of the new suffixes and of those that now follow them
@@ -108,16 +133,13 @@ def repeated(strings: list[bytes], counts, need: int = NEED) -> list[np.ndarray]
     to = np.empty(len(bwt), dtype=np.int64)
     to[order] = np.arange(len(bwt))
     twice = np.maximum(common, np.append(common[1:], 0)) >= need
-    out = [np.zeros(n - need + 1, dtype=bool) for n in lengths]
     at = np.arange(m)
     flags = np.zeros((most + 1, m), dtype=bool)
     for k in range(1, most + 1):
         on = np.flatnonzero(lengths >= k)
         at[on] = m + to[at[on]]
         flags[k, on] = twice[at[on]]
-    for i, n in enumerate(lengths):
-        out[i][:] = True if counts[i] > 1 else flags[n : need - 1 : -1, i]
-    return out
+    return [flags[n : need - 1 : -1, i] for i, n in enumerate(lengths)]
 
 
 def _least(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -191,18 +213,18 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
                 spans = [b[x : y + need] for x, y in zip(first.tolist(), last.tolist())]
                 context = [xxh64_intdigest(s, a - x) for s, a, x in zip(spans, at.tolist(), first.tolist())]
                 spans = [s if k else None for s, k in zip(spans, held(several, key).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(signed(context)), pa.array(np.full(len(at), row)), pa.array(first), pa.array(last), pa.array(spans, pa.binary())], names=["key", "context", "row", "first", "last", "span"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(signed(context)), pa.array(np.full(len(at), row)), pa.array(first), pa.array(last), pa.array((at - first).astype(np.int32)), pa.array(spans, pa.binary())], names=["key", "context", "row", "first", "last", "place", "span"])
 
-    rows = text.mapInArrow(places, "key long, context long, row long, first long, last long, span binary").join(twice.hint("merge"), "key")
+    rows = text.mapInArrow(places, "key long, context long, row long, first long, last long, place int, span binary").join(twice.hint("merge"), "key")
     rows = work.write(rows, "places")
     whole = rows.filter("not several").select("row", "first", "last")
-    strings = rows.filter("several").groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"))
+    strings = rows.filter("several").groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"), F.first("place").alias("place"))
 
     def build(batches):
         import pyarrow as pa
 
         def out(rows):
-            found = [(key, context, a, z) for (key, context, _, _), f in zip(rows, repeated([r[3] for r in rows], [r[2] for r in rows], need)) for a, z in runs(f)]
+            found = [(key, context, a, z) for (key, context, *_), f in zip(rows, repeated([r[3] for r in rows], [r[2] for r in rows], need, [r[4] for r in rows])) for a, z in runs(f)]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int64()) for i in range(4)], names=["key", "context", "a", "z"])
 
         now: list[tuple] = []
@@ -216,7 +238,7 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
             yield out(now)
 
     ordered = strings.repartition("key").sortWithinPartitions("key", "context")
-    found = work.write(ordered.select("key", "context", "n", "span").mapInArrow(build, "key long, context long, a long, z long"), "runs")
+    found = work.write(ordered.select("key", "context", "n", "span", "place").mapInArrow(build, "key long, context long, a long, z long"), "runs")
     parts = rows.filter("several").select("key", "context", "row", "first").join(found, ["key", "context"]).select("row", (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("z")).alias("last"))
     return whole.union(parts)
 

@@ -439,3 +439,17 @@ def test_block_max_search_is_exact():
         every = dense[:, ids] @ w
         want = np.lexsort((np.arange(len(every)), -np.round(every, 12)))[: toxicity.K]
         assert np.allclose(np.sort(cosines), np.sort(every[want])) and np.allclose(every[places], cosines)
+
+
+def test_construction_by_wider_symbols():
+    rng = random.Random(3)
+    core = prose(rng, 12).encode()[:40]
+    sides = [prose(rng, 12).encode()[:60] for _ in range(4)]
+    parts = sorted({(sides[rng.randrange(4)][a:], sides[rng.randrange(4)][:b]) for a in range(0, 50, 7) for b in range(8, 60, 9)})
+    strings, places = [x + core + y for x, y in parts], [len(x) for x, _ in parts]
+    # windows that hold the core stand at one place to it, so every string's windows do
+    need = 80
+    strings, places = map(list, zip(*[(s, p) for s, p in zip(strings, places) if len(s) >= need]))
+    seen = Counter((s[i : i + need], p - i) for s, p in zip(strings, places) for i in range(len(s) - need + 1))
+    for s, p, flags in zip(strings, places, suffix_dedup.repeated(strings, [1] * len(strings), need, places)):
+        assert flags.tolist() == [seen[s[i : i + need], p - i] > 1 for i in range(len(s) - need + 1)]
