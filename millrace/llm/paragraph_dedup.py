@@ -148,6 +148,7 @@ def marks(docs: DataFrame, work: Work) -> DataFrame:
     twice = work.write(twice, "bands")
     bits = min(25, max(16, int(8 * twice.count()).bit_length()))  # 4 MB at most
     held = docs.sparkSession.sparkContext.broadcast(_bits(twice, bits))
+    work.drop(twice)
     schema = "row long, doc_id long, k int, first_word long, n_words long, unit long, bands array<long>, shingles array<long>"
 
     def pick(batches):
@@ -173,7 +174,12 @@ def marks(docs: DataFrame, work: Work) -> DataFrame:
     place = F.struct("doc_id", "row", "k")
     distinct = units.groupBy("unit").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
     distinct = work.write(distinct, "distinct")
-    by_band = distinct.select(F.explode("bands").alias("key"), "unit", "shingles").repartition("key").sortWithinPartitions("key", "unit")
+    # only buckets with several different paragraphs need their shingles
+    slim = distinct.select(F.explode("bands").alias("key"), "unit")
+    several = work.write(slim.groupBy("key").agg(F.min("unit").alias("a"), F.max("unit").alias("z")).filter("a <> z").select("key"), "buckets")
+    members = work.write(slim.join(several.hint("merge"), "key"), "members")
+    with_sets = members.join(distinct.select("unit", "shingles").join(members.select("unit").distinct().hint("merge"), "unit", "left_semi").hint("merge"), "unit")
+    by_band = with_sets.select("key", "unit", "shingles").repartition("key").sortWithinPartitions("key", "unit")
     links = work.write(by_band.mapInArrow(_links, "u long, v long"), "pairs")
     found = connected(links, work)
     named = distinct.select("unit", "first", "last").join(found, F.col("unit") == F.col("node"), "left").select("unit", "first", "last", F.coalesce("component", "unit").alias("component"))
