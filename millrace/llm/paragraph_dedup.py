@@ -10,7 +10,9 @@ of ``1 - 0.2 ** BANDS``, equal ones always. A bit map of fixed size of the band
 the rest from the shuffle. Equal paragraphs stand as one with their number; colliding ones are
 verified by exact Jaccard similarity, and those at 0.8 or more form components, from spanning
 forests of each bucket. Of each component's occurrences the first, by doc_id and place, stays.
-Runs of neighbouring repeated paragraphs count only from ``LEAST_WORDS`` words, so that stock lines stay.
+The first and last words of a passage lie in runs that straddle its ends, so what is found grows word by word to
+both sides, as far as the words beside the occurrence that stays are the same. Passages count only from
+``LEAST_WORDS`` words of this grown length, so that stock lines stay.
 
 Words: ASCII lower case, between ASCII white space. Null and empty texts have no paragraphs. Rows with
 equal doc_id and text count as one. Rows of an empty table: none. Extra columns are ignored. The
@@ -42,14 +44,14 @@ def _mix(x: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """First word of each paragraph (and the number of words at the end), shingle hashes, where each paragraph's begin, and its bands."""
+def split(text: str | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of a text, their hashes, and the first word of each paragraph (and the number of words at the end)."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if not n:
-        return np.zeros(1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), [np.zeros(0, np.uint64)] * BANDS
+        return words, np.zeros(0, np.uint64), np.zeros(1, np.int64)
     h = np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=n)
     pair = _mix(h[:-1] * np.uint64(3) + h[1:], 0)
     if len(pair) > 2 * RADIUS:
@@ -59,7 +61,17 @@ def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, li
         cut = at[(pair[at] < before[at - RADIUS]) & (pair[at] < after[at + 1])] + 1
     else:
         cut = np.zeros(0, np.int64)
-    starts = np.concatenate(([0], cut, [n])).astype(np.int64)
+    return words, h, np.concatenate(([0], cut, [n])).astype(np.int64)
+
+
+def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """First word of each paragraph (and the number of words at the end), shingle hashes, where each paragraph's begin, and its bands."""
+    from xxhash import xxh64_intdigest
+
+    words, h, starts = split(text)
+    n = len(words)
+    if not n:
+        return starts, np.zeros(0, np.uint64), np.zeros(0, np.int64), [np.zeros(0, np.uint64)] * BANDS
     sizes = np.diff(starts)
     # shingles that lie inside of a paragraph; a short paragraph has one, of all its words
     full = np.full(n, 0, dtype=np.uint64)
@@ -138,8 +150,70 @@ def _links(batches):
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(2)], names=["u", "v"])
 
 
+def beside(words: list[bytes], starts: np.ndarray, k: int, side: int) -> bytes:
+    """The words beside paragraph k, the nearest first, before (side 0) or after it.
+
+    They go ``RADIUS + 1`` words past the neighbour's far cut: were more of them shared, the cut would be too, and the neighbour equal.
+    """
+    if side:
+        last = starts[min(k + 2, len(starts) - 1)] + RADIUS + 1
+        return b" ".join(words[starts[k + 1] : last])
+    first = max(0, starts[max(k - 1, 0)] - RADIUS - 1)
+    return b" ".join(words[first : starts[k]][::-1])
+
+
+def _beside(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        for row, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
+            words, _, starts = split(text)
+            ask = [(x["k"], x["side"]) for x in asked]
+            cells = ([row] * len(ask), [k for k, _ in ask], [s for _, s in ask], [beside(words, starts, k, s) for k, s in ask])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["_row", "_k", "_side", "words"])
+
+
+def shared_words(a: bytes, b: bytes) -> int:
+    """Words that both begin with."""
+    n = 0
+    for x, y in zip(a.split(), b.split()):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def passages(items) -> dict:
+    """What goes of a text: its marked paragraphs, each longer by the words shared beside it, where they join to ``LEAST_WORDS`` or more."""
+    grown = {(x["k"], x["side"]): x["ext"] for x in items if x["side"] is not None}
+    marked = sorted((x for x in items if x["side"] is None), key=lambda x: x["k"])
+    spans = sorted((x["first_word"] - grown.get((x["k"], 0), 0), x["first_word"] + x["n_words"] + grown.get((x["k"], 1), 0), x["k"]) for x in marked)
+    runs: list[list] = []
+    for a, b, k in spans:
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+            runs[-1][2].append((a, b, k))
+        else:
+            runs.append([a, b, [(a, b, k)]])
+    runs = [r for r in runs if r[1] - r[0] >= LEAST_WORDS]
+    of, gone = {x["k"]: x for x in marked}, []
+    n_removed = n_paragraphs = 0
+    firsts = set()
+    for start, end, members in runs:
+        out = np.zeros(end - start, dtype=bool)
+        for a, b, k in members:
+            if not of[k]["stays"]:
+                out[a - start : b - start] = True
+                n_paragraphs += 1
+                firsts.add(of[k]["first_doc_id"])
+        n_removed += int(out.sum())
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], out.view(np.int8), [0]))))
+        gone += [{"first_word": start + int(a), "n_words": int(b - a)} for a, b in zip(edge[::2], edge[1::2])]
+    return {"n_repeated": sum(r[1] - r[0] for r in runs), "n_removed": n_removed, "n_paragraphs_removed": n_paragraphs, "first_doc_ids": sorted(x for x in firsts if x is not None), "gone": gone}
+
+
 def marks(docs: DataFrame, work: Work) -> DataFrame:
-    """row, doc_id, k, first_word, n_words, first_doc_id and stays of each repeated paragraph in a run that counts."""
+    """row, and ``p``: n_repeated, n_removed, n_paragraphs_removed, first_doc_ids and gone (first_word, n_words) of each text with repeated passages."""
     from xxhash import xxh64_intdigest
 
     from .suffix_dedup import _bits
@@ -186,24 +260,35 @@ def marks(docs: DataFrame, work: Work) -> DataFrame:
     groups = named.groupBy("component").agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first <> last")
     of = work.write(named.select("unit", "component").join(groups, "component").select("unit", "first"), "classes")
     rows = units.drop("bands", "shingles").distinct().join(of.hint("merge"), "unit")
-    # neighbouring repeated paragraphs make a run
     by_row = Window.partitionBy("row").orderBy("k")
-    rows = rows.withColumn("run", F.col("k") - F.row_number().over(by_row))
-    rows = rows.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("row", "run"))).filter(F.col("run_words") >= LEAST_WORDS)
     stays = (F.col("row") == F.col("first.row")) & (F.col("k") == F.col("first.k"))
-    return rows.select("row", "doc_id", "k", "first_word", "n_words", F.col("first.doc_id").alias("first_doc_id"), stays.alias("stays"))
+    alone = lambda c, d: ~F.coalesce(c.over(by_row) == F.col("k") + d, F.lit(False))
+    rows = work.write(rows.select("row", "k", "first_word", "n_words", "first", stays.alias("stays")), "rows")
+    # The sides of a run of neighbouring repeated paragraphs grow word by word, as far as beside the place that stays.
+    # This place is always an earlier one, so of each word an equal one is left, even where a text loses part of what others refer to.
+    sides = F.explode(F.array_compact(F.array(F.when(F.col("opens"), 0), F.when(F.col("closes"), 1)))).alias("side")
+    edges = rows.filter("not stays").withColumn("opens", alone(F.lag("k"), -1)).withColumn("closes", alone(F.lead("k"), 1))
+    edges = work.write(edges.select("row", "k", sides, F.col("first.row").alias("to"), F.col("first.k").alias("to_k")), "edges")
+    asked = edges.select("row", "k", "side").union(edges.select("to", "to_k", "side").distinct()).groupBy("row").agg(F.collect_set(F.struct("k", "side")).alias("asked"))
+    texts = docs.select(row_key(docs).alias("_row"), "text").join(asked.hint("merge"), F.col("_row") == F.col("row")).select("row", "text", "asked")
+    near = work.write(texts.mapInArrow(_beside, "_row long, _k int, _side int, words binary"), "beside").dropDuplicates(["_row", "_k", "_side"])
+    mine = edges.join(near.hint("merge"), (F.col("row") == F.col("_row")) & (F.col("k") == F.col("_k")) & (F.col("side") == F.col("_side"))).select("row", "k", "side", "to", "to_k", F.col("words").alias("mine"))
+    grow = F.udf(shared_words, "int", useArrow=True)
+    met = mine.join(near.hint("merge"), (F.col("to") == F.col("_row")) & (F.col("to_k") == F.col("_k")) & (F.col("side") == F.col("_side")))
+    met = work.write(met.select("row", "k", "side", "to", "to_k", grow("mine", "words").alias("ext")).filter("ext > 0"), "grown")
+    grown = met.select("row", "k", "side", "ext").union(met.groupBy("to", "to_k", "side").agg(F.max("ext")))
+    grown = grown.groupBy("row", "k", "side").agg(F.max("ext").alias("ext"))
+    none = lambda kind: F.lit(None).cast(kind)
+    items = rows.select("row", F.struct("k", "first_word", "n_words", "stays", F.col("first.doc_id").alias("first_doc_id"), none("int").alias("side"), none("int").alias("ext")).alias("x"))
+    items = items.union(grown.select("row", F.struct("k", none("long").alias("first_word"), none("long").alias("n_words"), none("boolean").alias("stays"), none("long").alias("first_doc_id"), "side", "ext")))
+    whole = F.udf(passages, "n_repeated long, n_removed long, n_paragraphs_removed long, first_doc_ids array<long>, gone array<struct<first_word long, n_words long>>", useArrow=True)
+    return work.write(items.groupBy("row").agg(F.collect_list("x").alias("x")).select(F.col("row").alias("_row"), whole("x").alias("p")), "marks")
 
 
 def report(docs: DataFrame, work: Work) -> DataFrame:
     """A row for each document: its words, those in repeated passages, those removed, and where these were seen first."""
-    found = marks(docs, work).groupBy("row").agg(
-        F.sum("n_words").alias("n_repeated"),
-        F.sum(F.when(F.col("stays"), 0).otherwise(F.col("n_words"))).alias("n_removed"),
-        F.count_if(~F.col("stays")).alias("n_paragraphs_removed"),
-        F.array_sort(F.collect_set(F.when(~F.col("stays"), F.col("first_doc_id")))).alias("first_doc_ids"),
-    )
-    found = work.write(found, "marks").withColumnRenamed("row", "_row")
     n = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long")
+    found = marks(docs, work).select("_row", *[F.col("p")[c].alias(c) for c in ("n_repeated", "n_removed", "n_paragraphs_removed", "first_doc_ids")])
     rows = docs.select("doc_id", n.alias("n_words"), row_key(docs).alias("row")).join(found.hint("merge"), F.col("row") == F.col("_row"), "left")
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_repeated", "n_removed", "n_paragraphs_removed")]
     return rows.select("doc_id", "n_words", *zero, F.coalesce("first_doc_ids", F.array().cast("array<bigint>")).alias("first_doc_ids"))
@@ -211,8 +296,7 @@ def report(docs: DataFrame, work: Work) -> DataFrame:
 
 def dedup(docs: DataFrame, work: Work) -> DataFrame:
     """The documents without the words of removed paragraphs; other columns as they were."""
-    gone = marks(docs, work).filter("not stays").groupBy("row").agg(F.collect_list(F.struct("first_word", "n_words")).alias("_gone"))
-    gone = work.write(gone, "gone").withColumnRenamed("row", "_row")
+    gone = marks(docs, work).select("_row", F.col("p.gone").alias("_gone")).filter(F.size("_gone") > 0)
 
     @F.udf("string", useArrow=True)
     def cut(text, gone):

@@ -377,6 +377,21 @@ def test_paragraph_dedup(spark, docs, empty):
     assert paragraph_dedup.report(empty, Work(spark, "g")).count() == 0
 
 
+def test_passages_grow_to_their_ends(spark):
+    rng = random.Random(12)
+    blocks = [prose(rng, 60) for _ in range(40)]
+    rows = [(2 * i + j, f"{prose(rng, 80)} {b} {prose(rng, 80)}") for i, b in enumerate(blocks) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in paragraph_dedup.report(df, Work(spark, "g")).collect()}
+    # all of a block or, where no paragraph lies within it, nothing
+    assert sum(60 <= out[2 * i + 1].n_removed <= 62 for i in range(40)) >= 38
+    assert all(out[2 * i + 1].n_removed in (0, 60, 61, 62) and out[2 * i].n_removed == 0 for i in range(40))
+    assert all(abs(out[2 * i].n_repeated - out[2 * i + 1].n_repeated) <= 2 for i in range(40))
+    left = {r.doc_id: words(r.text) for r in paragraph_dedup.dedup(df, Work(spark, "g")).collect()}
+    assert all(len(left[d]) == 220 - out[d].n_removed for d in left)
+    assert all(left[2 * i + 1][:70] == words(rows[2 * i + 1][1])[:70] for i in range(40))
+
+
 def test_bucket_links_find_all_pairs():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 1000, 20)) for _ in range(30)]
