@@ -97,6 +97,26 @@ def test_line_chunks(spark, docs, empty):
     assert line_dedup.dedup(empty, Work(spark, "l")).count() == 0
 
 
+def test_repeated_lines_go_to_their_ends(spark):
+    rng = random.Random(13)
+    rows, n = [], 12
+    for i in range(60):
+        block = [prose(rng, 6) for _ in range(n)]
+        rows += [(2 * i + j, "\n".join([*(prose(rng, 5) for _ in range(6)), *block, *(prose(rng, 5) for _ in range(6))])) for j in range(2)]
+    df = spark.createDataFrame([*rows, (500, rows[0][1]), (501, rows[3][1])], "doc_id long, text string")
+    out = {r.doc_id: r for r in line_dedup.dedup(df, Work(spark, "l"), report=True).collect()}
+    assert all(out[2 * i].n_removed == 0 and out[2 * i + 1].n_removed in (0, n) for i in range(60))
+    assert sum(out[2 * i + 1].n_removed == n for i in range(60)) >= 50
+    # of exact copies nothing is left
+    assert out[500].text == out[501].text == "" and out[500].n_removed == n + 12
+    for i in range(60):
+        if out[2 * i + 1].n_removed:
+            lines = rows[2 * i + 1][1].split("\n")
+            assert out[2 * i + 1].text.split("\n") == [*lines[:6], *lines[-6:]]
+    sizes = [[len(c) for c in r[0]] for r in df.select(line_dedup.chunks(F.col("text"))).collect()]
+    assert all(min(s[:-1], default=2) >= 2 for s in sizes)
+
+
 def test_chunks_keep_every_line(spark):
     texts = ["a", "a\nb", "", "\n", "\n".join(str(i) for i in range(100))]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
