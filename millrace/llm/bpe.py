@@ -4,8 +4,8 @@ A byte-level BPE tokenizer splits a text into pieces (words with their leading b
 signs, white space) and encodes each on its own. A single blank or line feed between other
 characters always begins a new piece. ``Encoder`` therefore cuts a text at these, and keeps the ids
 of such units, up to a bound, to use them again. Texts with characters for which the splitting rule
-may depend on the version of the Unicode tables, with a special token's string, or with adjacent
-white space are encoded whole.
+may depend on the version of the Unicode tables, with a special token's string, with U+0000 (which
+marks the cuts), or with adjacent white space are encoded whole.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ class Encoder:
         units, on = self.units, gc.isenabled()
         gc.disable()  # many small objects are made here, and none in a cycle
         try:
-            cut = [None if self.special(t) else t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
+            cut = [None if "\0" in t or self.special(t) else t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for t in texts]
             self._add({u for c in cut if c for u in c if u not in units})
             out = []
             for text, c in zip(texts, cut):

@@ -248,6 +248,13 @@ def test_units_encode_as_the_whole_text():
         assert [np.frombuffer(x, dtype="<u2").tolist() for x in e.encode(texts)] == [ids_of(t, 0)[:-1].tolist() for t in texts]
 
 
+def test_texts_with_nul_are_encoded_whole():
+    e = bpe.Encoder(bpe.default_path(), kept=20)
+    texts = ["a b", "a\0b", "\0", "a\0 b\0\nc", "\0a", "a\0"]
+    for _ in range(2):
+        assert [np.frombuffer(x, dtype="<u2").tolist() for x in e.encode(texts)] == [ids_of(t, 0)[:-1].tolist() for t in texts]
+
+
 def test_packing(spark, docs, empty):
     out = packing.pack(clashing(docs), Work(spark, "p"), bpe.default_path()).collect()
     want = Counter()
