@@ -74,15 +74,20 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
 
         encoder = bpe.encoder(tokenizer)
         for batch in batches:
-            rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                ids = np.append(np.frombuffer(ids, dtype=f"<u{encoder.width}").astype("<u4"), np.uint32(end_id)).tobytes()
-                n = len(ids) // 4
-                first = n if n <= capacity else n % capacity or capacity
-                for i, start in enumerate([0, *range(first, n, capacity)]):
-                    length = first if i == 0 else capacity
-                    rows.append((doc, i, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            ids, bounds = encoder.column(batch.column(1))
+            lengths = np.diff(bounds) + 1
+            # the ids of all documents, each with its end id, as unsigned 32-bit integers
+            data = np.insert(ids.astype("<u4"), bounds[1:], np.uint32(end_id)).tobytes()
+            first = np.where(lengths <= capacity, lengths, np.where(lengths % capacity, lengths % capacity, capacity))
+            n = 1 + (lengths - first) // capacity
+            of = np.repeat(np.arange(len(lengths)), n)
+            piece = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            start = np.where(piece > 0, first[of] + (piece - 1) * capacity, 0)
+            length = np.where(piece > 0, capacity, first[of])
+            at = 4 * ((bounds[:-1] + np.arange(len(lengths)))[of] + start)
+            crc = [zlib.crc32(data[a:z]) for a, z in zip(at.tolist(), (at + 4 * length).tolist())]
+            columns = [batch.column(0).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
