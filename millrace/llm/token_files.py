@@ -7,7 +7,7 @@ null, flag 2 that ids have four bytes. Beside each shard lies an index of two u6
 for every record, its offset and the length of its data, so that a reader can shuffle records with
 range reads and need not scan the shard.
 
-Rows are written in ascending key order: null keys first, ties by text. A null text counts as
+Rows are written in ascending key order: null keys first, ties by a hash of the text. A null text counts as
 empty; each document ends with ``end_id``. Repeated rows give repeated records. An empty table gives
 no records. Extra columns are ignored.
 """
@@ -112,38 +112,73 @@ def unframe(framed: list[bytes]) -> list[bytes]:
     return data
 
 
+def bounds(rows: DataFrame, n: int) -> np.ndarray:
+    """``n - 1`` rows (k, t) or fewer that part the rows into like shares, from a sample of some hundred rows a share."""
+    total = rows.count()
+    if not total or n < 2:
+        return np.zeros((0, 2), dtype=np.int64)
+    some = rows.sample(False, min(1.0, 200 * n / total), seed=7).select("k", "t").toArrow().to_pandas().to_numpy(dtype=np.int64)
+    some = some[np.lexsort((some[:, 1], some[:, 0]))]
+    return some[(np.arange(1, n) * len(some)) // n] if len(some) else np.zeros((0, 2), dtype=np.int64)
+
+
 def write(docs: DataFrame, work: Work, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Writes the shards; gives a row for each: shard, path, n_records, n_ids, in key order by shard."""
-    folder = work.folder("shards")
+    """Writes the shards; gives a row for each: shard, path, n_records, n_ids, in key order by shard.
+
+    Texts are encoded where they lie and only their ids travel. The shares of the shards come from a sample
+    of (key, hash of the text), so that neither many rows of one key nor many null keys meet in one shard.
+    """
+    folder, spark = work.folder("shards"), docs.sparkSession
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    # null keys come first, as the least number; the key itself tells them apart
+    rows = rows.select("key", F.coalesce("key", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("t"), "text")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = bounds(rows, n)
+
+    def encode(batches):
+        import pyarrow as pa
+
+        encoder = bpe.encoder(tokenizer)
+        end = end_id.to_bytes(encoder.width, "little")
+        for batch in batches:
+            key, k, t = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            part = np.zeros(len(k), dtype=np.int32)
+            lo, hi = np.searchsorted(parts[:, 0], k), np.searchsorted(parts[:, 0], k, side="right")
+            part[:] = lo
+            for i in np.flatnonzero(hi > lo).tolist():  # a bound has this key too
+                part[i] += np.searchsorted(parts[lo[i] : hi[i], 1], t[i], side="right")
+            ids, at = encoder.column(batch.column(3))
+            ids = ids.view(np.uint8)
+            data = [ids[a:z].tobytes() + end for a, z in zip((at[:-1] * encoder.width).tolist(), (at[1:] * encoder.width).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(part), key, batch.column(2), pa.array(data, pa.binary())], names=["part", "key", "t", "ids"])
 
     def put(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        task, encoder = TaskContext.get(), bpe.encoder(tokenizer)
-        wide = encoder.width == 4
-        end, n_records, n_ids, at, index = end_id.to_bytes(encoder.width, "little"), 0, 0, 0, []
+        task, width, wide = TaskContext.get(), bpe.width(tokenizer), bpe.width(tokenizer) == 4
+        n_records, n_ids, at, index = 0, 0, 0, []
         path = f"{folder}/shard-{task.partitionId():06d}-{uuid.uuid4().hex[:8]}.records"
         system, where = file_system(path)
         system.create_dir(where.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(where, buffer_size=1 << 20) as out:
             for batch in batches:
-                texts = zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()))
-                while group := list(itertools.islice(texts, 500)):
-                    records = [struct.pack(KEY, doc or 0, (doc is None) + 2 * wide) + ids + end for doc, ids in group]
+                rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                while group := list(itertools.islice(rows, 500)):
+                    records = [struct.pack(KEY, doc or 0, (doc is None) + 2 * wide) + ids for doc, ids in group]
                     for framed in frames(records):
                         out.write(framed)
                         index.append((at, len(framed) - 16))
                         at += len(framed)
-                    n_records, n_ids = n_records + len(group), n_ids + sum(len(ids) // encoder.width + 1 for _, ids in group)
+                    n_records, n_ids = n_records + len(group), n_ids + sum(len(ids) // width for _, ids in group)
         with system.open_output_stream(f"{where}.index") as out:
             out.write(np.array(index, dtype="<u8").tobytes())
         if n_records:
             yield pa.RecordBatch.from_pydict({"shard": [task.partitionId()], "path": [path], "n_records": [n_records], "n_ids": [n_ids]}, schema=pa.schema({"shard": pa.int32(), "path": pa.string(), "n_records": pa.int64(), "n_ids": pa.int64()}))
 
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = rows.repartitionByRange(F.col("k").asc_nulls_first(), F.xxhash64("t")).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
-    return work.write(rows.mapInArrow(put, "shard int, path string, n_records long, n_ids long"), "manifest")
+    encoded = rows.mapInArrow(encode, "part int, key long, t long, ids binary").repartitionById(n, "part")
+    ordered = encoded.sortWithinPartitions(F.col("key").asc_nulls_first(), "t", "ids").select("key", "ids")
+    return work.write(ordered.mapInArrow(put, "shard int, path string, n_records long, n_ids long"), "manifest")
 
 
 def read(manifest: DataFrame, span: int = 4 << 20) -> DataFrame:
