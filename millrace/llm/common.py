@@ -102,6 +102,20 @@ def unboxed(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     return rows.select(*[(new[c] if c in new else F.col("_d").getField(c)).alias(c) for c in columns])
 
 
+def by_size(batches, column: int, most: int = 1 << 21):
+    """Arrow batches in slices with so many bytes of a text column at most, but for rows that have more alone."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 # --- files that tasks write and read themselves -------------------------------------------------
 
 
