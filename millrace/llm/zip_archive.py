@@ -4,14 +4,14 @@ A package holds, all stored and not compressed by ZIP: ``archive/data.warc.gz``,
 a gzip member of its own; ``indexes/index.cdx``, a line for each record with its offset and length
 in that member; and ``datapackage.json``. The reader finds the end record of the ZIP file (ZIP64 where
 the plain one says so), walks the central directory, locates the stored members by their local
-headers, and reads an index and then records with range reads. A package's index is dealt out in spans,
-so that several tasks can read one package.
+headers, and reads a part of the index and then records with range reads. The lines of an index have one width; it is
+dealt out in spans, so that several tasks can read one package, and each reads its own lines only.
 
 Payloads: null counts as empty. Of records with equal payloads of at least ``least`` bytes, the one
 with the smallest page_id is a response and the others revisit it; a revisit keeps the headers of
-the response but no payload. Repeated page_ids each get a record, and the first of them stays the
-response only by place. Null page_ids are written with an empty id, come last, and read back as
-null. An empty table gives no rows; extra columns are ignored.
+the response but no payload. Repeated rows each get a record, and all are responses where their page_id is that
+smallest one. Null page_ids are written with an empty id, come last, and read back as
+null. Long pages are one record each. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ FULL, FULL16 = 0xFFFFFFFF, 0xFFFF
 DATE = "2024-01-01T00:00:00Z"
 #: Bytes of records that are read at a time, and records of one span of an index.
 READ, SPAN = 4 << 20, 2000
+#: Bytes of a line of the index: page_id, offset and length in 20 characters each, and the digest.
+LINE = 96
 
 
 def digest(payload: bytes) -> str:
@@ -121,7 +123,7 @@ def write(pages: DataFrame, work: Work, least: int = 0) -> DataFrame:
                 for page, url, html, to in zip(*(c.to_pylist() for c in batch.columns)):
                     data, found = record(page, url, html.encode("utf-8", "surrogatepass"), to)
                     packed = gzip.compress(data, 5, mtime=0)
-                    index.append(f"{'' if page is None else page} {at} {len(packed)} {found}\n")
+                    index.append(f"{'' if page is None else page:>20} {at:>20} {len(packed):>20} {found}\n")
                     at += len(packed)
                     yield packed
 
@@ -229,8 +231,9 @@ def read(spark: SparkSession, manifest: DataFrame, payload: bool = False) -> Dat
                     inside = directory(f, f.size())
                     base, _ = inside["archive/data.warc.gz"]
                     at, n = inside["indexes/index.cdx"]
-                    lines = f.read_at(n, at).split(b"\n")[span : span + SPAN]
-                    places = [tuple(map(int, x.split(b" ")[1:3])) for x in lines if x]
+                    # lines of the index have one width, so only those of the span are read
+                    lines = f.read_at(min(n - span * LINE, SPAN * LINE), at + span * LINE)
+                    places = [(int(lines[k + 21 : k + 41]), int(lines[k + 42 : k + 62])) for k in range(0, len(lines), LINE)]
                     i = 0
                     while i < len(places):
                         j = i + 1
