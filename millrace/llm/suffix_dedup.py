@@ -11,10 +11,14 @@ collection are chosen such that equal windows always meet:
   ``2 * need - GRAM`` bytes at most. Anchors whose bytes occur once have no repeated window.
 * Contexts with equal anchors form a collection, equal contexts once with their number. So rounds
   are bounded by the context's length, and a hot passage is counted before it is moved.
+* A collection falls into parts: a window holds the ``(need - GRAM) / 2`` bytes before its anchor, or those after
+  it. Windows that are equal have these bytes alike, so a context's two halves go to the parts of their own
+  bytes, and an anchor with many different contexts spreads over many parts. Equal halves stand as one.
 
-Only contexts of repeated anchors with several contexts need their bytes; a bit map of fixed size
-keeps others from the shuffle. (It may let some through, and the join by the full hash drops these.) One
-anchor's different contexts are held by one task, about ``18 * need`` bytes of memory for each.
+Contexts are told apart by the anchor's hash and their own (128 bits). Only contexts of repeated anchors with several
+contexts need their bytes; a bit map of fixed size keeps others from the shuffle. (It may let some through, and the
+join by the full hash drops these.) One part's different strings are held by one task, about ``10 * need`` bytes
+of memory for each. Long texts are scanned ``1 << PLACE`` bytes at a time.
 
 Matches never cross rows. A null text counts as empty. Rows with equal doc_id and text are each an
 occurrence of their strings. Texts shorter than ``need`` stay whole. An empty table gives no rows;
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import Work, row_key, table
 
 NEED = 200
-GRAM = 32
+GRAM = 128
 #: Strings of a collection that are built at a time, at least where one anchor has no more.
 BATCH = 4096
 #: Bytes of a symbol, where strings share an anchor.
@@ -105,13 +109,13 @@ def _construct(strings: list[np.ndarray], need: int, end: int) -> list[np.ndarra
     for i, s in enumerate(strings):
         columns[: len(s), i] = s[::-1]
     bwt, common, at = columns[0].copy(), np.zeros(m, dtype=np.uint8), np.arange(m)
+    # all symbols of the transform but the ends', ordered by symbol and place: the index is a suffix's rank
+    place = np.int64((1 << 40) - 1)
+    named = columns.astype(np.int64) << 40
+    keys = np.sort((named[0] | at)[columns[0] != end])
     for k in range(1, most + 1):
         on = np.flatnonzero(lengths >= k)
-        order = np.argsort(bwt, kind="stable")
-        valid = len(bwt) - int(np.count_nonzero(bwt == end))
-        to = np.empty(len(bwt), dtype=np.int64)
-        to[order] = np.arange(len(bwt))
-        new = m + to[at[on]]
+        new = m + np.searchsorted(keys, named[k - 1, on] | at[on])
         size = len(bwt) + len(on)
         old = np.ones(size, dtype=bool)
         old[new] = False
@@ -120,24 +124,25 @@ def _construct(strings: list[np.ndarray], need: int, end: int) -> list[np.ndarra
         merged[new] = columns[k, on]
         # the common prefixes of the new suffixes and of those that now follow them
         rows = np.unique(np.concatenate((new, new + 1)))
-        rows = rows[rows - m < valid]
-        hi = order[rows - m]
-        lo = order[np.maximum(rows - m - 1, 0)]
+        rows = rows[rows - m < len(keys)]
+        hi = keys[rows - m] & place
+        lo = keys[np.maximum(rows - m - 1, 0)] & place
         same = (rows > m) & (bwt[hi] == bwt[lo])
         value = np.zeros(len(rows), dtype=np.uint8)
         value[same] = np.minimum(_least(common, lo[same] + 1, hi[same]), need - 1) + 1
         prefixes[rows] = value
+        # insertions move the places of what stands behind them, and leave the order as it is
+        keys = keys & ~place | np.flatnonzero(old)[keys & place]
+        more = np.sort((named[k, on] | new)[columns[k, on] != end])
+        keys = np.insert(keys, np.searchsorted(keys, more), more)
         bwt, common = merged, prefixes
         at[on] = new
-    order = np.argsort(bwt, kind="stable")
-    to = np.empty(len(bwt), dtype=np.int64)
-    to[order] = np.arange(len(bwt))
     twice = np.maximum(common, np.append(common[1:], 0)) >= need
     at = np.arange(m)
     flags = np.zeros((most + 1, m), dtype=bool)
     for k in range(1, most + 1):
         on = np.flatnonzero(lengths >= k)
-        at[on] = m + to[at[on]]
+        at[on] = m + np.searchsorted(keys, named[k - 1, on] | at[on])
         flags[k, on] = twice[at[on]]
     return [flags[n : need - 1 : -1, i] for i, n in enumerate(lengths)]
 
@@ -220,25 +225,48 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
     whole = rows.filter("not several").select("row", "first", "last")
     strings = rows.filter("several").groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"), F.first("place").alias("place"))
 
+    # the halves of a context: windows that hold the bytes before the anchor, and the others
+    half, starts = (need - GRAM) // 2, F.octet_length("span") - need + 1
+    side = lambda k, a, z, at: F.when(a < z, F.struct(F.xxhash64("key", F.lit(k), F.substring("span", at + 1, F.lit(half))).alias("part"), a.alias("from"), (F.col("place") - a).alias("place"), F.substring("span", a + 1, z - a + need - 1).alias("span")))
+    cut = F.greatest(F.lit(0), F.least(starts, F.col("place") - half + 1))
+    sides = F.array_compact(F.array(side(0, F.lit(0), cut, F.col("place") - half), side(1, cut, starts, F.col("place") + GRAM)))
+    halves = strings.select("key", "context", "n", F.inline(sides)) if need > GRAM + 1 else strings.select("key", "context", "n", F.col("key").alias("part"), F.lit(0).alias("from"), "place", "span")
+
     def build(batches):
         import pyarrow as pa
 
-        def out(rows):
-            found = [(key, context, a, z) for (key, context, *_), f in zip(rows, repeated([r[3] for r in rows], [r[2] for r in rows], need, [r[4] for r in rows])) for a, z in runs(f)]
+        def out(parts):
+            found = []
+            strings = [x for part in parts for x in part.items()]
+            many = [i for i, part in enumerate(parts) for _ in part]
+            # a string alone in its part needs no order
+            for (span, (place, owners)), i in zip(strings, many):
+                if len(parts[i]) == 1 and sum(n for *_, n in owners) > 1:
+                    found += [(key, context, a, a + len(span) - need) for key, context, a, _ in owners]
+            some = [x for x, i in zip(strings, many) if len(parts[i]) > 1]
+            flags = repeated([span for span, _ in some], [sum(n for *_, n in owners) for _, (_, owners) in some], need, [place for _, (place, _) in some]) if some else []
+            for (_, (_, owners)), f in zip(some, flags):
+                for x, y in runs(f):
+                    found += [(key, context, a + x, a + y) for key, context, a, _ in owners]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int64()) for i in range(4)], names=["key", "context", "a", "z"])
 
-        now: list[tuple] = []
+        parts: list[dict] = []  # of each part: span, to its anchor's place and its owners
+        last, n = None, 0
         for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns)):
-                if len(now) >= BATCH and r[0] != now[-1][0]:
-                    yield out(now)
-                    now = []
-                now.append(r)
-        if now:
-            yield out(now)
-
-    ordered = strings.repartition("key").sortWithinPartitions("key", "context")
-    found = work.write(ordered.select("key", "context", "n", "span", "place").mapInArrow(build, "key long, context long, a long, z long"), "runs")
+            for key, context, number, part, start, place, span in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != last:
+                    if n >= BATCH:
+                        yield out(parts)
+                        parts, n = [], 0
+                    parts.append({})
+                    last = part
+                parts[-1].setdefault(span, (place, []))[1].append((key, context, start, number))
+                n += 1
+        if parts:
+            yield out(parts)
+
+    ordered = halves.repartition("part").sortWithinPartitions("part")
+    found = work.write(ordered.select("key", "context", "n", "part", "from", "place", "span").mapInArrow(build, "key long, context long, a long, z long"), "runs")
     parts = rows.filter("several").select("key", "context", "row", "first").join(found, ["key", "context"]).select("row", (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("z")).alias("last"))
     return whole.union(parts)
 
