@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -48,6 +49,12 @@ def main(argv=None, spark: SparkSession | None = None, out=sys.stdout) -> int:
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
         if a.what in ("create", "reset"):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        if a.what == "reset" and os.path.isdir(a.migrations):
+            # the schema comes back from the migrations, all of which count as not run
+            spark.sql(f"USE {name}")
+            harness = migrations.Harness(spark, migrations.from_folder(a.migrations), a.tracking)
+            harness.forget()
+            print(*harness.run(), file=out)
         return 0
     if a.kind == "print-schema":
         out.write(Catalog(spark, a.database).print_schema(a.only, a.without))

@@ -121,13 +121,26 @@ def abs_(x) -> Column:
     return F.abs(col(x))
 
 
-def floor(x, kind: str = "double") -> Column:
-    """Rounds down and keeps the type that is named."""
-    return F.floor(col(x)).cast(kind)
-
-
-def ceil(x, kind: str = "double") -> Column:
-    return F.ceil(col(x)).cast(kind)
+def _whole(x: Column) -> Column:
+    """Without the fraction, in the same type; beyond 2 ** 52 no double has one, nor have infinities and NaN."""
+    far = F.lit(float(1 << 52))
+    return x - F.when((x < far) & (x > -far), x % F.lit(1).cast("tinyint")).otherwise(F.lit(0).cast("tinyint"))
+
+
+def floor(x, kind: str | None = None) -> Column:
+    """Rounds down and keeps the type, or gives the one that is named."""
+    x, one = col(x), F.lit(1).cast("tinyint")
+    whole = _whole(x)
+    out = F.when(whole > x, whole - one).otherwise(whole)
+    return out if kind is None else out.cast(kind)
+
+
+def ceil(x, kind: str | None = None) -> Column:
+    """Rounds up and keeps the type, or gives the one that is named."""
+    x, one = col(x), F.lit(1).cast("tinyint")
+    whole = _whole(x)
+    out = F.when(whole < x, whole + one).otherwise(whole)
+    return out if kind is None else out.cast(kind)
 
 
 def round_(x, precision: int = 0, ties: str = "away") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["any_", "any_last", "arg_max", "arg_min", "avg", "avg_weighted", "count", "count_if", "count_star", "group_array", "group_uniq_array", "max_", "median", "min_", "quantile", "quantile_tdigest", "sum_", "sum_if", "sum_with_overflow", "top_k", "uniq", "uniq_combined", "uniq_exact"]
+__all__ = ["any_", "any_last", "arg_max", "arg_min", "avg", "avg_weighted", "count", "count_if", "count_star", "group_array", "group_uniq_array", "max_", "median", "median_exact", "min_", "quantile", "quantile_exact", "quantile_tdigest", "sum_", "sum_distinct", "sum_if", "sum_with_overflow", "top_k", "uniq", "uniq_combined", "uniq_exact"]
 
 
 def _col(c) -> Column:
@@ -94,8 +94,13 @@ def avg_weighted(value, weight) -> Column:
     return F.try_divide(F.sum(F.when(both, v * w)), F.sum(F.when(both, w)))
 
 
-def quantile(level: float, e) -> Column:
-    """Exact, between neighbours where the level falls between two values."""
+def quantile(level: float, e, accuracy: int = 10000) -> Column:
+    """Approximate, from a mergeable sketch of bounded size (ranks to 1 in ``accuracy``); a value that occurs."""
+    return F.percentile_approx(_col(e), level, accuracy).cast("double")
+
+
+def quantile_exact(level: float, e) -> Column:
+    """Exact, between neighbours where the level falls between two values; holds a group's distinct values in memory."""
     return F.percentile(_col(e), F.lit(level))
 
 
@@ -103,9 +108,16 @@ def median(e) -> Column:
     return quantile(0.5, e)
 
 
-def quantile_tdigest(level: float, e, accuracy: int = 10000) -> Column:
-    """Approximate, from a mergeable sketch; a value that occurs."""
-    return F.percentile_approx(_col(e), level, accuracy).cast("double")
+def median_exact(e) -> Column:
+    return quantile_exact(0.5, e)
+
+
+#: The t-digest's place is taken by the same sketch: mergeable, of bounded size, exact in rank to 1 in 10,000.
+quantile_tdigest = quantile
+
+
+def sum_distinct(e) -> Column:
+    return F.sum_distinct(_col(e))
 
 
 def top_k(k: int, e) -> Column:

@@ -10,6 +10,7 @@ import hashlib
 import re
 import time
 from dataclasses import dataclass
+from importlib import resources
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -53,6 +54,24 @@ def from_folder(path: str | Path) -> list[Migration]:
     return combined(out)
 
 
+def embedded(sources: dict[str, str | tuple[str, str | None]]) -> list[Migration]:
+    """Migrations that a program carries itself: ``<version>_<name>`` to the text, or to the texts up and down."""
+    pairs = [(parse_name(k), (v, None) if isinstance(v, str) else v) for k, v in sources.items()]
+    return combined([Migration(version, name, up, down) for (version, name), (up, down) in pairs])
+
+
+def from_package(package: str, folder: str = "migrations") -> list[Migration]:
+    """Migrations in a folder of an installed package."""
+    found = {}
+    for p in resources.files(package).joinpath(folder).iterdir():
+        if p.is_dir() and not p.name.startswith((".", "_")):
+            texts = {f.name: f.read_text() for f in p.iterdir() if f.name in ("up.sql", "down.sql")}
+            if "up.sql" not in texts:
+                raise MigrationError(f"{p.name} has no up.sql")
+            found[p.name] = texts["up.sql"], texts.get("down.sql")
+    return embedded(found)
+
+
 def combined(*sources: list[Migration]) -> list[Migration]:
     """All migrations in order; a version that comes twice is an error."""
     out = sorted((m for s in sources for m in s), key=lambda m: m.version)
@@ -103,6 +122,11 @@ class Harness:
         assert SEQUENCE in rows.columns
         return {r.version: r.checksum for r in final(rows, self.table.engine, "version").filter("applied").collect()}
 
+    def forget(self) -> None:
+        """Records every migration as not in effect, as after a reset."""
+        names = {m.version: m for m in self.all}
+        insert(self.spark, self.table, [(v, time.time(), names[v].checksum if v in names else c, False) for v, c in self.applied().items()])
+
     def pending(self) -> list[Migration]:
         done = self.applied()
         return [m for m in self.all if m.version not in done]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.errors import InvalidQuery, SchemaMismatch
@@ -77,10 +77,14 @@ def insert(spark: SparkSession, table: TableDef, rows, codec: str = "zstd") -> i
         if not rows:
             return 0
         df = spark.createDataFrame(rows, schema)
-    n = df.count() if isinstance(rows, DataFrame) else rows.num_rows if isinstance(rows, pa.Table) else len(rows)
+    seen = None
+    if isinstance(rows, DataFrame):  # counted on the way, so that the source runs once
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    number = lambda: seen.get["n"] if seen is not None else rows.num_rows if isinstance(rows, pa.Table) else len(rows)
     if table.engine.name == "Null":
         df.write.format("noop").mode("append").save()
-        return n
+        return number()
     if table.engine.name in KEEP_ORDER and table.path:
         # the order of insertion decides between equal versions, so it is kept with the rows
         start = 0
@@ -96,4 +100,4 @@ def insert(spark: SparkSession, table: TableDef, rows, codec: str = "zstd") -> i
         spark.catalog.refreshByPath(table.path)
     else:
         writer.insertInto(table.name)
-    return n
+    return number()

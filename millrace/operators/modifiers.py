@@ -45,11 +45,13 @@ def final(df: DataFrame, engine: Engine, key) -> DataFrame:
     rows. Ties go to the row inserted last, where the table has its order of insertion.
     """
     key = [key] if isinstance(key, str) else list(key)
-    order = [F.col(SEQUENCE).desc()] if SEQUENCE in df.columns else []
+    order = [SEQUENCE] if SEQUENCE in df.columns else []
     kind, columns = engine.name, list(engine.columns)
+    row = F.struct(*df.columns)
+    # the last row by an order; a struct of the keys of the order sorts nulls first, so a version that is null loses
+    last = lambda by, when=None: F.max_by(row if when is None else F.when(when, row), F.struct(*by) if when is None else F.when(when, F.struct(*by))) if by else F.any_value(row if when is None else F.when(when, row), F.lit(True))
     if kind == "ReplacingMergeTree":
-        order = [F.col(c).desc_nulls_last() for c in columns] + order
-        return _first(df, key, order or [F.lit(1)])
+        return df.groupBy(*key).agg(last([*columns, *order]).alias("_row")).select("_row.*")
     if kind == "SummingMergeTree":
         summed = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in [*key, SEQUENCE]]
         rest = [c for c in df.columns if c not in [*key, *summed]]
@@ -58,9 +60,9 @@ def final(df: DataFrame, engine: Engine, key) -> DataFrame:
         return df.groupBy(*key).agg(*[merge(f).alias(f.name) for f in df.schema if f.name not in key]).select(*df.columns)
     if kind in ("CollapsingMergeTree", "VersionedCollapsingMergeTree"):
         sign, by = columns[0], [*key, *columns[1:]]
-        total = F.sum(sign).over(Window.partitionBy(*by))
-        live = df.withColumn("_total", total).filter((F.col("_total") > 0) & (F.col(sign) > 0)).drop("_total")
-        return _first(live, by, order or [F.lit(1)])
+        # one aggregate: the sum of the signs, and the last row with sign 1
+        found = df.groupBy(*by).agg(F.sum(sign).alias("_total"), last(order, F.col(sign) > 0).alias("_row"))
+        return found.filter((F.col("_total") > 0) & F.col("_row").isNotNull()).select("_row.*")
     return df
 
 
@@ -87,6 +89,64 @@ def merge(f: T.StructField) -> Column:
     return found[how](F.col(f.name))
 
 
+def ranked(df: DataFrame, by: str, name: str = "_rank", share: int = 100_000) -> DataFrame:
+    """Adds the rank (from 1, ties alike, nulls first) of each row by a number or time over the whole frame.
+
+    A window without a partition would send all rows to one task. Here quantiles part the values into ranges of about
+    ``share`` rows; a row's rank is the number of rows in the ranges before, plus its rank within its own.
+    Values that are equal share a range, and so one task.
+    """
+    value = F.col(by)
+    place = F.when(value.isNull(), F.lit(None)).otherwise(F.unix_micros(value.cast("timestamp")) if isinstance(df.schema[by].dataType, T.TimestampType | T.TimestampNTZType | T.DateType) else value)
+    n = max(1, -(-df.count() // share))
+    cuts = df.agg(F.percentile_approx(place, [k / n for k in range(1, n)], 10 * n)).first()[0] or [] if n > 1 else []
+    cuts = sorted(set(cuts))  # one less than the ranges
+    # the range of a value by halving, so that a row costs the logarithm of their number
+    def find(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(place > F.lit(cuts[mid]), find(mid + 1, hi)).otherwise(find(lo, mid))
+
+    parted = df.withColumn("_part", F.when(value.isNull(), F.lit(-1)).otherwise(find(0, len(cuts))))
+    sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    rank = F.rank().over(Window.partitionBy("_part").orderBy(by)) + F.col("_before")
+    return parted.join(F.broadcast(before), "_part").withColumn(name, rank.cast("bigint")).drop("_part", "_before")
+
+
+def limit_with_ties(df: DataFrame, n: int, order) -> DataFrame:
+    """The first n rows of an order, and all that tie with the last of them."""
+    order = _cols(order)
+    if n <= 0:
+        return df.limit(0)
+    top = df.orderBy(*order).limit(n)
+    # n rows at most stand in the one window; what ties with the last of them comes by a semi join on its keys
+    keys = [_bare(c) for c in order]
+    numbered = top.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], F.row_number().over(Window.orderBy(*order)).alias("_r"))
+    last = numbered.agg(F.max_by(F.struct(*[f"_{i}" for i in range(len(keys))]), "_r").alias("_last")).select("_last.*")
+    before = F.lit(False)
+    same = F.lit(True)
+    for i, (k, c) in enumerate(zip(keys, order)):
+        down, nulls_first = "DESC" in str(c), "NULLS FIRST" in str(c)
+        mine, theirs = F.col(k), F.col(f"_{i}")
+        less = (mine > theirs) if down else (mine < theirs)
+        less = F.coalesce(less, F.when(mine.isNull() & theirs.isNotNull(), F.lit(nulls_first)).when(mine.isNotNull() & theirs.isNull(), F.lit(not nulls_first)), F.lit(False))
+        before |= same & less
+        same &= mine.eqNullSafe(theirs)
+    return df.crossJoin(F.broadcast(last)).filter(before | same).select(*df.columns).orderBy(*order)
+
+
+def _bare(c: Column) -> str:
+    """The name of a sort key's column."""
+    import re
+
+    m = re.fullmatch(r"Column<'(.+?)( (?:ASC|DESC) NULLS (?:FIRST|LAST))?'>", str(c))
+    if not m:
+        raise InvalidQuery("ties need named columns to sort by")
+    return m[1].strip("`")
+
+
 def sample(df: DataFrame, rate: float, key, offset: float = 0.0) -> DataFrame:
     """Rows whose key's hash falls in [offset, offset + rate) of its range: the same wherever they lie."""
     if not 0 <= offset <= 1 or not 0 <= rate <= 1:

@@ -19,8 +19,15 @@ def in_subquery(df: DataFrame, column: str, sub: DataFrame) -> DataFrame:
 
 
 def not_in_subquery(df: DataFrame, column: str, sub: DataFrame) -> DataFrame:
-    """``column NOT IN (sub)`` with three-valued logic, by SQL's null-aware anti join."""
-    return df.sparkSession.sql(f"SELECT * FROM {{d}} WHERE `{column}` NOT IN (SELECT _s0 FROM {{s}})", d=df, s=_named(sub))
+    """``column NOT IN (sub)`` with three-valued logic: an anti join on equality, which may shuffle, and two counts of the subquery.
+
+    An empty subquery keeps every row; one with a null keeps none; else rows with a null do not count.
+    """
+    sub = _named(sub)
+    counts = sub.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_s0").isNull()).alias("nulls"))
+    n, nulls = counts.select("n").scalar(), counts.select("nulls").scalar()
+    left = df.join(sub.filter("_s0 IS NOT NULL"), F.col(column) == F.col("_s0"), "left_anti")
+    return left.filter((n == 0) | ((nulls == 0) & F.col(column).isNotNull()))
 
 
 eq_any = in_subquery
@@ -57,8 +64,19 @@ def except_(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
-def with_queries(spark, main: str, **ctes: DataFrame) -> DataFrame:
-    """``WITH name AS (frame), ... main``: the text names the frames after FROM and JOIN."""
-    for name in ctes:
-        main = re.sub(rf"\b(FROM|JOIN)\s+{name}\b", rf"\1 {{{name}}} AS {name}", main, flags=re.IGNORECASE)
-    return spark.sql(main, **ctes)
+def intersect_all(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.intersectAll(b)
+
+
+def except_all(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.exceptAll(b)
+
+
+def with_queries(spark, main: str, recursive: bool = False, **ctes: DataFrame) -> DataFrame:
+    """``WITH name AS (frame), ... main``. The text is left as it is but for a WITH of its own, which goes on after the frames."""
+    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", main, flags=re.IGNORECASE)
+    rest = main[own.end() :] if own else main
+    escape = rest.replace("{", "{{").replace("}", "}}")
+    frames = ", ".join(f"`{name}` AS (SELECT * FROM {{{name}}})" for name in ctes)
+    word = "WITH RECURSIVE" if recursive or (own and own[1]) else "WITH"
+    return spark.sql(f"{word} {frames}{',' if own and frames else ''} {escape}" if frames or own else escape, **ctes)

@@ -153,6 +153,7 @@ class Query:
     # --- plan
 
     def to_df(self, spark: SparkSession) -> DataFrame:
+        """The plan as a frame. Settings hold for ``run`` and the other ways to a result, not for a frame that is used later."""
         df = self._source(spark)
         for other, on, how in self.joins:
             right, table = _frame(other, spark)
@@ -165,9 +166,12 @@ class Query:
             df = modifiers.array_join(df, arrays, left, fill)
         for p in (self.prewhere_, self.where):
             df = df if p is None else df.filter(p)
-        df = self._grouped(df) if self.keys or self.totals else self._projected(df)
-        if self.offset_:
-            df = df.offset(self.offset_)
+        if self.totals:
+            return self._with_totals(df)
+        return self._sliced(self._grouped(df) if self.keys else self._projected(df))
+
+    def _sliced(self, df: DataFrame) -> DataFrame:
+        df = df.offset(self.offset_) if self.offset_ else df
         return df if self.limit_ is None else df.limit(self.limit_)
 
     def _source(self, spark: SparkSession) -> DataFrame:
@@ -183,23 +187,38 @@ class Query:
             df = df.select(*table.names).alias(self.name or table.name)
         return df.alias(self.name) if self.name else df
 
-    def _grouped(self, df: DataFrame) -> DataFrame:
-        keys = [F.col(k) if isinstance(k, str) else k for k in self.keys]
-        names = {str(k) for k in keys}
+    def _parts(self) -> tuple[list[Column], list[Column], list[int]]:
+        """Keys, aggregates, and for each selected column its place among both."""
         if not self.columns:
             raise InvalidQuery("GROUP BY needs a select")
-        found = [F.col(c) if isinstance(c, str) else c for c in self.columns]
-        aggregates = [c for c in found if str(c) not in names]
-        if self.totals:
-            if not self.keys:
-                raise InvalidQuery("WITH TOTALS needs GROUP BY")
-            df = df.groupingSets([keys, []], *keys).agg(*aggregates, (F.grouping_id() > 0).alias(modifiers.TOTAL))
-            total = F.col(modifiers.TOTAL)
-            df = df if self.having_ is None else df.filter(total | self.having_)
-            body = self._cut(df.filter(~total), keep=True)
-            return body.union(df.filter(total).select(*body.columns)).orderBy(modifiers.TOTAL, *map(ordered, self.order)) if self.order else body.union(df.filter(total).select(*body.columns))
-        df = df.groupBy(*keys).agg(*aggregates)
-        return self._cut(df if self.having_ is None else df.filter(self.having_))
+        keys = [F.col(k) if isinstance(k, str) else k for k in self.keys]
+        named, aggregates, places = {str(k): i for i, k in reversed(list(enumerate(keys)))}, [], []
+        for c in (F.col(c) if isinstance(c, str) else c for c in self.columns):
+            if str(c) in named:
+                places.append(named[str(c)])
+            else:
+                places.append(len(keys) + len(aggregates))
+                aggregates.append(c)
+        return keys, aggregates, places
+
+    def _grouped(self, df: DataFrame) -> DataFrame:
+        keys, aggregates, places = self._parts()
+        df = df.groupBy(*keys).agg(*aggregates) if aggregates else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        return self._cut(df if self.having_ is None else df.filter(self.having_), places=places)
+
+    def _with_totals(self, df: DataFrame) -> DataFrame:
+        """The groups, cut by every clause, and the row of all rows, which none of them cuts."""
+        if not self.keys:
+            raise InvalidQuery("WITH TOTALS needs GROUP BY")
+        keys, aggregates, places = self._parts()
+        df = df.groupingSets([keys, []], *keys).agg(*aggregates, (F.grouping_id() > 0).alias(modifiers.TOTAL))
+        places = [*places, len(keys) + len(aggregates)]
+        total = F.col(modifiers.TOTAL)
+        body = df.filter(~total)
+        body = self._sliced(self._cut(body if self.having_ is None else body.filter(self.having_), places=places))
+        both = body.union(_pick(df.filter(total), places))
+        order = [c for c in map(ordered, self.order)] if all(isinstance(c, str) and c in both.columns for c in self.order) else []
+        return both.orderBy(modifiers.TOTAL, *order) if self.order else both
 
     def _projected(self, df: DataFrame) -> DataFrame:
         # DISTINCT ON, LIMIT BY and ORDER BY may use columns that are not selected
@@ -213,20 +232,17 @@ class Query:
         given = {c for c in self.columns if isinstance(c, str)}
         return any(isinstance(c, str) and c in df.columns and c not in given for c in self.order)
 
-    def _cut(self, df: DataFrame, select: bool = False, keep: bool = False) -> DataFrame:
+    def _cut(self, df: DataFrame, select: bool = False, places: list[int] | None = None) -> DataFrame:
+        """LIMIT BY, DISTINCT and ORDER BY, and the projection: before DISTINCT where there is one, else after the order."""
         if self.by:
             n, offset, by = self.by
             df = modifiers.limit_by(df, n, list(by), [ordered(c) for c in self.order] or [F.lit(1)], offset)
-        if select and self.columns and self.is_distinct:
-            df = df.select(*self.columns)
-            select = False
+        project = (lambda df: _pick(df, places)) if places is not None else (lambda df: df.select(*self.columns)) if select and self.columns else (lambda df: df)
         if self.is_distinct:
-            df = df.distinct()
-        if self.order and not self.totals:
+            df, project = project(df).distinct(), lambda df: df
+        if self.order:
             df = df.orderBy(*map(ordered, self.order))
-        if keep and (self.limit_ is not None or self.offset_):
-            df = df.orderBy(*map(ordered, self.order)) if self.order else df
-        return df.select(*self.columns) if select and self.columns else df
+        return project(df)
 
     # --- results
 
@@ -248,15 +264,27 @@ class Query:
         row = self.get_result(spark)
         return default if row is None else row
 
+    def run(self, spark: SparkSession, action: Callable):
+        """What an action on the frame gives, under the query's settings."""
+        with scoped(spark, dict(self.conf)):
+            return action(self.to_df(spark))
+
     def stream(self, spark: SparkSession):
-        """Rows one by one, a partition at a time."""
-        return self.to_df(spark).toLocalIterator(prefetchPartitions=True)
+        """Rows one by one, a partition at a time; the settings hold until the last."""
+        with scoped(spark, dict(self.conf)):
+            yield from self.to_df(spark).toLocalIterator(prefetchPartitions=True)
 
     def load_arrow(self, spark: SparkSession):
-        return self.to_df(spark).toArrow()
+        return self.run(spark, lambda df: df.toArrow())
 
     def explain(self, spark: SparkSession) -> str:
-        return self.to_df(spark)._jdf.queryExecution().toString()
+        return self.run(spark, lambda df: df._jdf.queryExecution().toString())
+
+
+def _pick(df: DataFrame, places: list[int]) -> DataFrame:
+    """Columns by their places, under their names."""
+    names = df.columns
+    return df.toDF(*[f"_{i}" for i in range(len(names))]).select(*[F.col(f"_{i}").alias(names[i]) for i in places])
 
 
 def _frame(source, spark: SparkSession) -> tuple[DataFrame, TableDef | None]:

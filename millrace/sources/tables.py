@@ -142,7 +142,7 @@ class Catalog:
         self.spark, self.database = spark, database
 
     def tables(self, only=(), without=()) -> list[str]:
-        names = sorted(t.name for t in self.spark.catalog.listTables(self.database))
+        names = sorted(t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary)
         return [n for n in names if not n.startswith((".", "__")) and (not only or n in only) and n not in without]
 
     def columns(self, name: str) -> list[tuple[str, str, bool]]:

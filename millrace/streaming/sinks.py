@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 import threading
-import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.errors import InvalidQuery
+from millrace.errors import InvalidQuery, SchemaMismatch
 from millrace.operators.dml import insert
 from millrace.sources.tables import TableDef
 
@@ -38,8 +38,10 @@ def write_format(df: DataFrame, name: str, path: str, compression: str = "none")
         raise InvalidQuery(f"unknown format {name}")
 
 
-def render(df: DataFrame, name: str) -> str | bytes:
-    """A (small) result as one text: JSON, JSONEachRow, CSV, TabSeparated, or Arrow bytes for ArrowStream."""
+def render(df: DataFrame, name: str, most: int = 1_000_000) -> str | bytes:
+    """A result of ``most`` rows at most as one text: JSON, JSONEachRow, CSV, TabSeparated, or Arrow bytes for ArrowStream. Larger ones go to files."""
+    if df.limit(most + 1).count() > most:
+        raise InvalidQuery(f"more than {most} rows: write_format writes them in parallel")
     if name == "JSONEachRow":
         return "".join(f"{x[0]}\n" for x in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect())
     if name == "JSON":
@@ -88,8 +90,19 @@ def for_each(df: DataFrame, f: Callable[[Row], None]) -> None:
 
 
 def arrow_batches(df: DataFrame, size: int = 10_000):
-    """Arrow batches of a result."""
-    yield from df.toArrow().to_batches(max_chunksize=size)
+    """Arrow batches of a result, fetched a partition at a time."""
+    import pyarrow as pa
+
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, batch.schema) as w:
+                    w.write_batch(batch.slice(at, size))
+                yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["ipc"])
+
+    for row in df.mapInArrow(pack, "ipc binary").toLocalIterator(prefetchPartitions=True):
+        yield from pa.ipc.open_stream(row.ipc)
 
 
 def arrow_callback(df: DataFrame, f: Callable) -> int:
@@ -108,8 +121,12 @@ class View:
     batch: object
     row: int
 
-    def get(self, column: str):
-        return self.batch.column(column)[self.row].as_py()
+    def get(self, column: str, kind: type | None = None):
+        """The value; of a type that is asked for, or SchemaMismatch."""
+        value = self.batch.column(column)[self.row].as_py()
+        if kind is not None and value is not None and not isinstance(value, kind):
+            raise SchemaMismatch(f"{column} is no {kind.__name__}")
+        return value
 
     def is_null(self, column: str) -> bool:
         return not self.batch.column(column)[self.row].is_valid
@@ -122,9 +139,12 @@ def zero_copy(df: DataFrame, f: Callable[[View], None]) -> int:
 
 @dataclass(frozen=True)
 class InsertConfig:
+    #: Whether a flush returns when its rows are written, or hands them to a thread.
     wait: bool = True
+    #: Rows are written at the latest so long after the first of them came.
     busy_timeout_ms: int | None = None
     max_rows: int = 100_000
+    max_bytes: int = 64 << 20
     dedup: bool = False
 
     @classmethod
@@ -137,19 +157,27 @@ class InsertConfig:
 
 
 class AsyncInserter:
-    """Collects rows and appends them in large batches. A batch that can't be written stays in the buffer."""
+    """Collects rows and appends them in large batches, by number, size or age. A batch that can't be written stays in the buffer.
+
+    Without ``wait`` one thread writes, and its error is raised by the next call.
+    """
 
     def __init__(self, spark: SparkSession, table: TableDef, config: InsertConfig = InsertConfig()):
         self.spark, self.table, self.config = spark, table, config
         self._rows: list = []
-        self._lock, self._since, self.sent_count = threading.RLock(), time.monotonic(), 0
+        self._bytes = self.sent_count = 0
+        self._lock, self._writing = threading.RLock(), threading.Lock()
+        self._timer: threading.Timer | None = None
+        self._pool = None if config.wait else ThreadPoolExecutor(1)
+        self._jobs: list[Future] = []
+        self._error: BaseException | None = None
 
     def __enter__(self) -> AsyncInserter:
         return self
 
     def __exit__(self, kind, *_) -> None:
         if kind is None:
-            self.flush()
+            self.close()
 
     @property
     def buffered_count(self) -> int:
@@ -159,24 +187,78 @@ class AsyncInserter:
         self.write_many([row])
 
     def write_many(self, rows) -> None:
+        self._raise()
         with self._lock:
-            self._rows.extend(rows)
-            late = self.config.busy_timeout_ms is not None and (time.monotonic() - self._since) * 1000 >= self.config.busy_timeout_ms
-            if len(self._rows) >= self.config.max_rows or late:
-                self.flush()
+            for row in rows:
+                self._rows.append(row)
+                self._bytes += sum(len(v) if isinstance(v, str | bytes) else 8 for v in (row.values() if isinstance(row, dict) else row))
+            full = len(self._rows) >= self.config.max_rows or self._bytes >= self.config.max_bytes
+            if self._rows and not full and self._timer is None and self.config.busy_timeout_ms is not None:
+                self._timer = threading.Timer(self.config.busy_timeout_ms / 1000, self._late)
+                self._timer.daemon = True
+                self._timer.start()
+        if full:
+            self.flush()
 
-    def flush(self) -> int:
+    def _late(self) -> None:
+        try:
+            self.flush()
+        except BaseException as e:  # noqa: BLE001  the next call raises it
+            self._error = e
+
+    def _raise(self) -> None:
+        with self._lock:
+            for job in [j for j in self._jobs if j.done()]:
+                self._jobs.remove(job)
+                self._error = self._error or job.exception()
+            error, self._error = self._error, None
+        if error is not None:
+            raise error
+
+    def _take(self) -> list:
         with self._lock:
-            rows, self._rows = self._rows, []
-            if self.config.dedup:
-                rows = list({json.dumps(r, default=str, sort_keys=True): r for r in rows}.values())
-            try:
-                n = insert(self.spark, self.table, rows)
-            except BaseException:
+            if self._timer is not None:
+                self._timer.cancel()
+                self._timer = None
+            rows, self._rows, self._bytes = self._rows, [], 0
+        return rows
+
+    def _send(self, rows: list) -> int:
+        if not rows:
+            return 0
+        some = list({json.dumps(r, default=str, sort_keys=True): r for r in rows}.values()) if self.config.dedup else rows
+        try:
+            with self._writing:
+                n = insert(self.spark, self.table, some)
+        except BaseException:
+            with self._lock:
                 self._rows = rows + self._rows
-                raise
+            raise
+        with self._lock:
             self.sent_count += n
-            self._since = time.monotonic()
-            return n
+        return n
+
+    def flush(self) -> int:
+        """Writes what is buffered; gives the number of rows, or 0 where a thread writes them."""
+        rows = self._take()
+        if self._pool is None:
+            return self._send(rows)
+        with self._lock:
+            self._jobs.append(self._pool.submit(self._send, rows))
+        return 0
+
+    def flush_all(self) -> int:
+        """Writes what is buffered and waits for all that is being written."""
+        n = self.flush()
+        with self._lock:
+            jobs = list(self._jobs)
+        wait(jobs)
+        self._raise()
+        return n
+
+    flush_server = flush_all
 
-    flush_all = flush_server = flush
+    def close(self) -> None:
+        self.flush_all()
+        if self._pool is not None:
+            self._pool.shutdown()

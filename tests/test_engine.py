@@ -1,15 +1,19 @@
 import datetime
 import io
+import math
+import random
+import time
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace import cli, functions as fn, migrations
-from millrace.errors import InvalidQuery, MigrationError, NotFound
+from millrace.errors import InvalidQuery, MigrationError, NotFound, SchemaMismatch
 from millrace.functions.hashes import city64
-from millrace.operators import dml, modifiers
+from millrace.operators import dml, modifiers, relational
 from millrace.plans.query import Query, desc, find
-from millrace.sources import tables
+from millrace.sources import raw, tables
 from millrace.sources.tables import SEQUENCE, Catalog, TableDef
 from millrace.streaming import events, sinks
 
@@ -175,3 +179,156 @@ def test_event_windows_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert rows(spark.table("win").select("n")) == [(1,), (3,)]
+
+
+def test_group_by_gives_the_selected_columns(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "k string, v int")
+    q = Query(df).group_by("k")
+    assert q.select(F.sum("v").alias("s")).to_df(spark).columns == ["s"]
+    both = q.select(F.sum("v").alias("s"), "k").order_by(desc("k"))
+    assert both.to_df(spark).columns == ["s", "k"] and [tuple(r) for r in both.load(spark)] == [(2, "b"), (4, "a")]
+    assert rows(q.select("k").to_df(spark)) == [("a",), ("b",)]
+    hidden = q.select(F.sum("v").alias("s")).order_by("k").limit(1)
+    assert rows(hidden.to_df(spark)) == [(4,)]
+    assert rows(Query(df).group_by("k", "v").select("k").distinct().to_df(spark)) == [("a",), ("b",)]
+
+
+def test_totals_stand_beside_limit_and_offset(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 5), ("c", 1)], "k string, v int")
+    q = Query(df).group_by("k").with_totals().select(F.sum("v").alias("s"), "k").order_by("k")
+    assert [tuple(r) for r in q.limit(1).load(spark)] == [(3, "a", False), (9, None, True)]
+    assert [tuple(r) for r in q.offset(2).load(spark)] == [(5, None, False), (9, None, True)]
+    assert [tuple(r) for r in q.having(F.col("s") > 100).load(spark)] == [(9, None, True)]
+
+
+def test_settings_hold_on_every_way_to_a_result(spark):
+    q = Query(spark.range(4)).settings(max_threads=3)
+    key, seen = "spark.sql.shuffle.partitions", []
+    assert q.run(spark, lambda df: spark.conf.get(key)) == "3" and spark.conf.get(key) == "4"
+    for row in q.stream(spark):
+        seen.append((row.id, spark.conf.get(key)))
+    assert sorted(seen) == [(i, "3") for i in range(4)] and q.load_arrow(spark).num_rows == 4 and spark.conf.get(key) == "4"
+
+
+def test_not_in_has_three_values_and_no_broadcast(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for sub, want in (([], [(1,), (2,), (None,)]), ([(1,)], [(2,)]), ([(1,), (None,)], [])):
+            out = relational.not_in_subquery(df, "k", spark.createDataFrame(sub, "k int"))
+            assert rows(out) == want and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_named_queries_leave_text_and_session_alone(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, s string")
+    views = len(spark.catalog.listTables())
+    assert rows(relational.with_queries(spark, "SELECT 'from a, {a}' AS t, a.k FROM a, b WHERE a.k = b.k", a=a, b=a)) == [("from a, {a}", 1)]
+    assert rows(relational.with_queries(spark, "WITH c AS (SELECT k + 1 AS k FROM a) SELECT k FROM c", a=a)) == [(2,)]
+    assert len(spark.catalog.listTables()) == views
+
+
+def test_raw_sql(spark):
+    df = spark.createDataFrame([(1, "O'Brien"), (2, "x")], "k int, s string")
+    assert raw.load_one_bound(spark, "SELECT k FROM {t} WHERE s = ?", "O'Brien", t=df).k == 1
+    assert raw.load_optional_bound(spark, "SELECT k FROM {t} WHERE s = ?", "' OR 1 = 1 --", t=df) is None
+    with pytest.raises(NotFound):
+        raw.load_one_bound(spark, "SELECT k FROM {t} WHERE k = ?", 9, t=df)
+    with pytest.raises(InvalidQuery):
+        raw.load_one_bound(spark, "SELECT k FROM {t}", t=df)
+    assert raw.ping(spark) and len(raw.load_raw(spark, "SELECT * FROM {t}", t=df)) == 2
+    assert df.select(raw.sql("Float64", "k / 2").alias("h")).dtypes == [("h", "double")]
+    raw.execute(spark, "CREATE TABLE raw_t (x INT) USING parquet")
+    raw.execute_bound(spark, "INSERT INTO raw_t SELECT ?", 5)
+    assert rows(spark.table("raw_t")) == [(5,)]
+    raw.execute(spark, "DROP TABLE raw_t")
+
+
+def test_ranks_over_a_whole_frame_and_ties(spark):
+    rng = random.Random(1)
+    df = spark.createDataFrame([(rng.choice([None, *range(40)]), i) for i in range(500)], "v int, i int")
+    want = rows(df.select("i", F.rank().over(Window.orderBy("v")).alias("r")))
+    assert rows(modifiers.ranked(df, "v", share=30).select("i", "_rank")) == want
+    assert rows(modifiers.ranked(df.limit(0), "v").select("i")) == []
+    for n in (0, 1, 7, 499, 600):
+        for order in ([F.col("v").desc_nulls_last()], [F.col("v").asc_nulls_first(), F.col("i").desc()], [F.col("v").asc_nulls_last()]):
+            ties = df.withColumn("r", F.rank().over(Window.orderBy(*order))).filter(F.col("r") <= n).drop("r")
+            assert rows(modifiers.limit_with_ties(df, n, order)) == rows(ties)
+
+
+def test_floor_and_ceil_keep_the_type(spark):
+    df = spark.createDataFrame([(-1.5, 3, -1e-20), (math.inf, -2, 2.0), (2.0**60, 1, 0.25), (None, None, None)], "a double, b smallint, c double")
+    out = df.select(*[f(c).alias(n + c) for n, f in (("f", fn.floor), ("c", fn.ceil)) for c in "abc"])
+    assert [t for _, t in out.dtypes] == ["double", "smallint", "double"] * 2
+    assert [tuple(r) for r in out.collect()] == [(-2.0, 3, -1.0, -1.0, 3, 0.0), (math.inf, -2, 2.0, math.inf, -2, 2.0), (2.0**60, 1, 0.0, 2.0**60, 1, 1.0), (None,) * 6]
+
+
+def test_quantiles_by_sketch_and_exactly(spark):
+    df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
+    assert df.agg(fn.quantile(0.9, "v"), fn.median("v"), fn.quantile_exact(0.25, "v"), fn.median_exact("v")).first()[:] == (900.0, 500.0, 250.0, 500.0)
+
+
+def test_inserts_flush_by_age_size_and_in_the_background(spark, tmp_path):
+    t = TableDef.of("g", {"k": "Int64", "s": "String"}, "k", path=str(tmp_path / "g"))
+    with sinks.AsyncInserter(spark, t, sinks.InsertConfig(busy_timeout_ms=100)) as out:
+        out.write((1, "a"))
+        for _ in range(100):
+            if out.sent_count:
+                break
+            time.sleep(0.1)
+        assert out.sent_count == 1 and out.buffered_count == 0
+    with sinks.AsyncInserter(spark, t, sinks.InsertConfig(max_bytes=20)) as out:
+        out.write((2, "x" * 30))
+        assert out.sent_count == 1
+    with sinks.AsyncInserter(spark, t, sinks.InsertConfig.fire_and_forget()) as out:
+        out.write((3, "b"))
+        assert out.flush() == 0
+        out.flush_all()
+        assert out.sent_count == 1
+    assert rows(t.scan(spark).select("k")) == [(1,), (2,), (3,)]
+    out = sinks.AsyncInserter(spark, t, sinks.InsertConfig(wait=False))
+    out.write(("no number", "c"))
+    with pytest.raises(Exception):
+        out.flush_all()
+    assert out.buffered_count == 1
+
+
+def test_an_inserted_frame_runs_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    t = TableDef.of("o", {"id": "Int64"}, "id", path=str(tmp_path / "o"))
+    assert dml.insert(spark, t, spark.range(7).mapInArrow(count, "id long")) == 7 and runs.value == 7
+
+
+def test_arrow_comes_in_batches(spark):
+    df = spark.range(0, 2500, 1, 3)
+    sizes = [b.num_rows for b in sinks.arrow_batches(df, 500)]
+    assert sum(sizes) == 2500 and max(sizes) <= 500 and len(sizes) >= 6
+    assert list(sinks.arrow_batches(df.limit(0))) == []
+    with pytest.raises(SchemaMismatch):
+        sinks.zero_copy(df, lambda v: v.get("id", str))
+    with pytest.raises(InvalidQuery):
+        sinks.render(df, "JSON", most=100)
+
+
+def test_reset_runs_the_migrations_again(spark, tmp_path):
+    (tmp_path / "m" / "1_a").mkdir(parents=True)
+    (tmp_path / "m" / "1_a" / "up.sql").write_text("CREATE TABLE reset_a (x INT) USING parquet")
+    base = ["--database", "reset_db", "--migrations", str(tmp_path / "m"), "--tracking", str(tmp_path / "t")]
+    out = io.StringIO()
+    try:
+        cli.main([*base, "database", "reset"], spark, out)
+        cli.main([*base, "database", "reset"], spark, out)
+        assert out.getvalue() == "1\n1\n" and Catalog(spark, "reset_db").tables() == ["reset_a"]
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE IF EXISTS reset_db CASCADE")
+    own = migrations.embedded({"2_b": ("SELECT 2", "SELECT 0"), "1_a": "SELECT 1"})
+    assert [(m.version, m.name, m.down) for m in own] == [(1, "a", None), (2, "b", "SELECT 0")]
