@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace import functions as fn
+from millrace.operators import modifiers
 from millrace.plans.catalogue import query, table
 from millrace.plans.query import Query, desc
 
@@ -31,23 +32,22 @@ def uniq_exact(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(fn.uniq_exact("user_id").alias("users"))
 
 
-@query("SELECT event_type, TRUE AS near FROM events GROUP BY event_type")
+@query("SELECT event_type, count(DISTINCT user_id) AS users, TRUE AS near FROM events GROUP BY event_type")
 def uniq(spark, d):
-    """Approximate numbers of distinct users lie within 10 % of the exact one."""
+    """Approximate numbers of distinct users lie within 10 % of the exact one, which comes with them."""
     near = lambda a: F.abs(a - fn.uniq_exact("user_id")) <= 0.1 * fn.uniq_exact("user_id")
-    return table(spark, d, "events").groupBy("event_type").agg((near(fn.uniq("user_id")) & near(fn.uniq_combined("user_id"))).alias("near"))
+    return table(spark, d, "events").groupBy("event_type").agg(fn.uniq_exact("user_id").alias("users"), (near(fn.uniq("user_id")) & near(fn.uniq_combined("user_id"))).alias("near"))
 
 
 @query("SELECT event_type, round(quantile_cont(value, 0.9), 6) AS q90, round(quantile_cont(value, 0.5), 6) AS med FROM events GROUP BY event_type")
 def quantile(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(fn.quantile(0.9, "value"), 6).alias("q90"), F.round(fn.median("value"), 6).alias("med"))
+    return table(spark, d, "events").groupBy("event_type").agg(F.round(fn.quantile_exact(0.9, "value"), 6).alias("q90"), F.round(fn.median_exact("value"), 6).alias("med"))
 
 
-@query("SELECT event_type, TRUE AS near FROM events GROUP BY event_type")
+@query("SELECT event_type, quantile_disc(value, 0.9) AS q90, quantile_disc(value, 0.5) AS med FROM events GROUP BY event_type")
 def quantile_tdigest(spark, d):
-    """The sketch's quantile lies between exact ones one percent away."""
-    q = fn.quantile_tdigest(0.9, "value")
-    return table(spark, d, "events").groupBy("event_type").agg(((q >= fn.quantile(0.89, "value")) & (q <= fn.quantile(0.91, "value"))).alias("near"))
+    """The sketch's quantiles; up to its accuracy in rows a group, they are the exact ones."""
+    return table(spark, d, "events").groupBy("event_type").agg(fn.quantile_tdigest(0.9, "value", 1_000_000).alias("q90"), fn.quantile(0.5, "value", 1_000_000).alias("med"))
 
 
 @query("SELECT user_id, arg_max(event_type, event_id) AS last_type, arg_min(value, event_id) AS first_value, round(sum(value * event_id) / sum(event_id), 6) AS weighted FROM events GROUP BY user_id")
@@ -55,10 +55,12 @@ def arg_max_min(spark, d):
     return table(spark, d, "events").groupBy("user_id").agg(fn.arg_max("event_type", "event_id").alias("last_type"), fn.arg_min("value", "event_id").alias("first_value"), F.round(fn.avg_weighted("value", "event_id"), 6).alias("weighted"))
 
 
-@query("SELECT event_type, TRUE AS found, arg_max(user_id, event_id) AS last FROM events GROUP BY event_type")
+@query("SELECT event_type, upper(event_type) AS found, arg_max(user_id, event_id) AS last FROM events GROUP BY event_type")
 def any_last(spark, d):
+    """Any value of what is the same throughout a group, nulls left out, is that."""
     e = table(spark, d, "events")
-    return e.groupBy("event_type").agg(fn.any_("user_id").isNotNull().alias("found"), fn.any_last("user_id", "event_id").alias("last"))
+    loud = F.when(F.col("event_id") % 2 == 0, F.upper("event_type"))
+    return e.groupBy("event_type").agg(fn.any_(loud).alias("found"), fn.any_last("user_id", "event_id").alias("last"))
 
 
 @query("SELECT event_type, array_to_string(list_sort(list(user_id)), ',') AS users, array_to_string(list_sort(list(DISTINCT user_id)), ',') AS distinct_users FROM events GROUP BY event_type")
@@ -72,9 +74,26 @@ def top_k(spark, d):
     return Query(table(spark, d, "events")).group_by("user_id").select("user_id", fn.count_star().alias("n")).order_by(desc("n"), "user_id").limit(10).to_df(spark)
 
 
-@query("SELECT 5 AS k")
+@query("SELECT event_type AS item FROM events GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 3")
 def top_k_sketch(spark, d):
-    return table(spark, d, "events").agg(F.size(fn.top_k(5, "event_type")).alias("k"))
+    return table(spark, d, "events").agg(fn.top_k(3, "event_type").alias("items")).select(F.explode("items").alias("item"))
+
+
+@query("SELECT user_id, event_type, count(*) AS n, sum(DISTINCT event_id % 7)::BIGINT AS s FROM events GROUP BY ROLLUP (user_id, event_type)")
+def rollup(spark, d):
+    return table(spark, d, "events").rollup("user_id", "event_type").agg(fn.count_star().alias("n"), fn.sum_distinct(F.col("event_id") % 7).alias("s"))
+
+
+@query("SELECT count(*) AS n, max(value) AS hi FROM events GROUP BY event_type")
+def group_select_only(spark, d):
+    """Keys that are not selected are not in the result."""
+    return Query(table(spark, d, "events")).group_by("event_type").select(fn.count_star().alias("n"), fn.max_("value").alias("hi")).to_df(spark)
+
+
+@query("SELECT n, event_type, _is_total FROM (SELECT count(*) AS n, event_type, FALSE AS _is_total FROM events GROUP BY event_type ORDER BY n DESC, event_type LIMIT 2) UNION ALL SELECT count(*), NULL, TRUE FROM events")
+def totals_limit(spark, d):
+    """LIMIT cuts the groups and leaves the row of all rows."""
+    return Query(table(spark, d, "events")).group_by("event_type").with_totals().select(fn.count_star().alias("n"), "event_type").order_by(desc("n"), "event_type").limit(2).to_df(spark)
 
 
 @query("SELECT s % 3 AS g, (((sum(x) % 18446744073709551616 + 18446744073709551616) % 18446744073709551616 + 9223372036854775808) % 18446744073709551616 - 9223372036854775808)::BIGINT AS wrapped FROM (SELECT event_id AS s, (event_id + 1)::HUGEINT * 9000000000000000 AS x FROM events) GROUP BY s % 3")
@@ -134,23 +153,27 @@ def win_agg_frames(spark, d):
     return table(spark, d, "events").select("event_id", F.round(F.sum("value").over(w), 4).alias("s"), F.round(F.avg("value").over(w), 4).alias("a"), F.count("value").over(w).alias("c"), F.min("value").over(w).alias("lo"), F.max("value").over(w).alias("hi"))
 
 
-@query("SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY event_id RANGE BETWEEN 20 PRECEDING AND CURRENT ROW) AS near, count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS so_far, count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS to_come FROM events")
+@query("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY event_id RANGE BETWEEN 200 PRECEDING AND CURRENT ROW) AS near, count(*) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS so_far, count(*) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS to_come FROM events")
 def win_range(spark, d):
-    w = W.partitionBy("event_type").orderBy("event_id")
+    w = _by()
     n = F.count(F.lit(1))
-    return table(spark, d, "events").select("event_id", n.over(w.rangeBetween(-20, 0)).alias("near"), n.over(w.rowsBetween(W.unboundedPreceding, 0)).alias("so_far"), n.over(w.rowsBetween(0, W.unboundedFollowing)).alias("to_come"))
+    return table(spark, d, "events").select("event_id", n.over(w.rangeBetween(-200, 0)).alias("near"), n.over(w.rowsBetween(W.unboundedPreceding, 0)).alias("so_far"), n.over(w.rowsBetween(0, W.unboundedFollowing)).alias("to_come"))
 
 
 @query("SELECT event_id, event_type, round(100 * value / sum(value) OVER (PARTITION BY event_type), 6) AS share FROM events")
 def win_share(spark, d):
-    return table(spark, d, "events").select("event_id", "event_type", F.round(100 * F.col("value") / F.sum("value").over(W.partitionBy("event_type")), 6).alias("share"))
+    # a few types hold all rows: their sums are made before the shuffle and joined back, where a window would sort each type in one task
+    e = table(spark, d, "events").select("event_id", "event_type", "value")
+    sums = e.groupBy(F.col("event_type").alias("of_type")).agg(F.sum("value").alias("total"))
+    return e.join(sums, F.col("event_type").eqNullSafe(F.col("of_type"))).select("event_id", "event_type", F.round(100 * F.col("value") / F.col("total"), 6).alias("share"))
 
 
-@query("SELECT event_id, round(percent_rank() OVER (ORDER BY event_id), 6) AS pr, round(cume_dist() OVER (PARTITION BY user_id ORDER BY event_id), 6) AS cd FROM (SELECT * FROM events WHERE user_id < 5)")
+@query("SELECT event_id, round(percent_rank() OVER (ORDER BY event_id), 6) AS pr, round(cume_dist() OVER (PARTITION BY user_id ORDER BY event_id), 6) AS cd FROM events")
 def win_percent_rank(spark, d):
-    # one window has no partition, so it takes the few rows of a few users only
-    e = table(spark, d, "events").filter("user_id < 5")
-    return e.select("event_id", F.round(F.percent_rank().over(W.orderBy("event_id")), 6).alias("pr"), F.round(F.cume_dist().over(_by()), 6).alias("cd"))
+    """The first has no partition: ranks come from ranges of the values, so that no task sees all rows."""
+    e = modifiers.ranked(table(spark, d, "events").select("event_id", "user_id"), "event_id")
+    n = e.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return e.select("event_id", F.round((F.col("_rank") - 1) / (n - 1), 6).alias("pr"), F.round(F.cume_dist().over(_by()), 6).alias("cd"))
 
 
 # --- recipes

@@ -44,7 +44,7 @@ def join_agg_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from millrace.plans import aggregation, modifying, relational, scalar  # noqa: F401  they register theirs
+    from millrace.plans import aggregation, modifying, relational, scalar, stored  # noqa: F401  they register theirs
 
     return {name: f for name, (f, _) in _FOUND.items()}
 

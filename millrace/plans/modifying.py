@@ -53,16 +53,17 @@ def sample_offset(spark, d):
     return modifiers.sample(table(spark, d, "orders"), 0.1, "o_orderkey", 0.5).select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT TRUE AS disjoint, TRUE AS whole")
+@query("SELECT count(*) AS sampled, count(DISTINCT o_orderkey) AS orders, TRUE AS fair FROM orders")
 def sample_parts(spark, d):
-    """Samples with offsets that do not overlap share no row, and together give all."""
+    """Samples with offsets that do not overlap share no row, together give all, and are of like size."""
     o = table(spark, d, "orders").select("o_orderkey")
     parts = [modifiers.sample(o, 0.25, "o_orderkey", k / 4) for k in range(4)]
     both = parts[0]
     for p in parts[1:]:
         both = both.union(p)
-    n = o.agg(F.count(F.lit(1)).alias("n"))
-    return both.agg(F.count(F.lit(1)).alias("a"), F.count_distinct("o_orderkey").alias("b")).crossJoin(n).select((F.col("a") == F.col("b")).alias("disjoint"), (F.col("a") == F.col("n")).alias("whole"))
+    n = parts[0].agg(F.count(F.lit(1)).alias("n"))
+    fair = F.col("n").between(0.2 * F.col("sampled"), 0.3 * F.col("sampled")).alias("fair")
+    return both.agg(F.count(F.lit(1)).alias("sampled"), F.count_distinct("o_orderkey").alias("orders")).crossJoin(n).select("sampled", "orders", fair)
 
 
 @query("SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_totalprice > 200000 THEN round(o_totalprice * 2, 2) ELSE o_totalprice END AS o_totalprice FROM orders")

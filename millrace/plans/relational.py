@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import relational
+from millrace.operators import modifiers, relational
 from millrace.plans.catalogue import query, table
 from millrace.plans.query import Query, asc, desc
+from millrace.sources import raw, tables
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem WHERE l_quantity BETWEEN 5 AND 20 AND l_returnflag IN ('R', 'A') AND l_linestatus NOT IN ('O') AND l_discount >= 0.03 AND l_discount <= 0.07 AND l_tax > 0.01 AND l_tax < 0.07 AND NOT (l_linenumber = 3) AND l_shipdate IS NOT NULL AND (l_linenumber != 2 OR l_quantity = 7)")
@@ -23,9 +24,10 @@ def like_ops(spark, d):
     return Query(table(spark, d, "customer")).filter(F.col("c_name").like("%00_") & F.col("c_name").ilike("customer%") & F.col("c_mktsegment").isNotNull()).select("c_custkey", "c_name").to_df(spark)
 
 
-@query("SELECT o_orderkey FROM orders WHERE FALSE OR o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey > 50)")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE FALSE)")
 def empty_in(spark, d):
-    return Query(table(spark, d, "orders")).filter(F.col("o_orderkey").isin([]) | ((F.col("o_orderkey") <= 50) & ~F.col("o_orderkey").isin([]))).select("o_orderkey").to_df(spark)
+    """An empty list holds nothing, so all rows are outside of it."""
+    return Query(table(spark, d, "orders")).filter(F.col("o_orderkey").isin([]) | ~F.col("o_orderkey").isin([])).select("o_orderkey").to_df(spark)
 
 
 @query("SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_quantity > 45")
@@ -66,8 +68,18 @@ def derived_table(spark, d):
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 250000 AND o_orderpriority = '1-URGENT'")
 def bound_sql(spark, d):
     """Raw SQL with bound parameters."""
-    table(spark, d, "orders").createOrReplaceTempView("bound_orders")
-    return spark.sql("SELECT o_orderkey, o_totalprice FROM bound_orders WHERE o_totalprice > ? AND o_orderpriority = ?", args=[250000.0, "1-URGENT"])
+    return raw.bound(spark, "SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_totalprice > ? AND o_orderpriority = ?", 250000.0, "1-URGENT", orders=table(spark, d, "orders"))
+
+
+@query("SELECT o_orderkey, o_totalprice / 100 AS hundreds, o_orderpriority || '!' AS loud FROM orders")
+def raw_expression(spark, d):
+    """Typed raw SQL beside other columns."""
+    return Query(table(spark, d, "orders")).select("o_orderkey", raw.sql("Float64", "o_totalprice / 100").alias("hundreds"), raw.sql("String", "o_orderpriority || '!'").alias("loud")).to_df(spark)
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def raw_statement(spark, d):
+    return raw.statement(spark, "SELECT o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderstatus", orders=table(spark, d, "orders"))
 
 
 # --- subqueries
@@ -123,26 +135,35 @@ def scalar_subquery(spark, d):
 # --- joins
 
 
-def _late(spark, d):
-    return table(spark, d, "orders").filter("o_totalprice > 420000").select("o_orderkey", "o_custkey")
+#: Every customer has an order, so the condition, over whole tables, makes the gaps of outer joins.
+_ON = "c_custkey = o_custkey AND o_totalprice > 100 * c_acctbal"
 
 
-_LATE = "(SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 420000)"
+def _dear():
+    return (F.col("c_custkey") == F.col("o_custkey")) & (F.col("o_totalprice") > 100 * F.col("c_acctbal"))
 
 
-@query(f"SELECT c_custkey, o_orderkey FROM customer LEFT JOIN {_LATE} o ON c_custkey = o_custkey")
+@query(f"SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON {_ON}")
 def left_join(spark, d):
-    return Query(table(spark, d, "customer")).left_join(_late(spark, d), F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "o_orderkey").to_df(spark)
+    return Query(table(spark, d, "customer")).left_join(table(spark, d, "orders"), _dear()).select("c_custkey", "o_orderkey").to_df(spark)
 
 
-@query(f"SELECT c_custkey, o_orderkey FROM {_LATE} o RIGHT JOIN customer ON c_custkey = o_custkey")
+@query(f"SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON {_ON}")
 def right_join(spark, d):
-    return Query(_late(spark, d)).right_join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "o_orderkey").to_df(spark)
+    return Query(table(spark, d, "orders")).right_join(table(spark, d, "customer"), _dear()).select("c_custkey", "o_orderkey").to_df(spark)
 
 
-@query(f"SELECT c_custkey, o_orderkey FROM (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) c FULL JOIN {_LATE} o ON c_custkey = o_custkey")
+@query(f"SELECT c_custkey, o_orderkey FROM customer FULL JOIN orders ON {_ON}")
 def full_join(spark, d):
-    return Query(table(spark, d, "customer").filter("c_custkey % 2 = 0")).full_join(_late(spark, d), F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "o_orderkey").to_df(spark)
+    return Query(table(spark, d, "customer")).full_join(table(spark, d, "orders"), _dear()).select("c_custkey", "o_orderkey").to_df(spark)
+
+
+@query("SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
+def foreign_key_join(spark, d):
+    """ON comes from a declared foreign key."""
+    customer = tables.TableDef.of("customer", {"c_custkey": "Int64", "c_name": "String"}, "c_custkey", path=f"{d}/customer.parquet")
+    orders = tables.TableDef.of("orders", {"o_orderkey": "Int64", "o_custkey": "Int64"}, "o_orderkey", path=f"{d}/orders.parquet", references=(("o_custkey", "customer", "c_custkey"),))
+    return Query(orders).inner_join(customer).select("orders.o_orderkey", "customer.c_name").to_df(spark)
 
 
 @query("SELECT r_name, n_name FROM region CROSS JOIN nation")
@@ -162,9 +183,9 @@ def three_way_join(spark, d):
     return q.group_by("r_name").select("r_name", F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total")).to_df(spark)
 
 
-@query("SELECT vec_id, round(unnest(embedding[1:4])::DOUBLE, 6) AS x FROM embeddings")
+@query("SELECT vec_id, round(unnest(embedding)::DOUBLE, 6) AS x FROM embeddings")
 def array_join(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", F.slice("embedding", 1, 4).alias("x"))
+    e = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("x"))
     return Query(e).array_join("x").select("vec_id", F.round(F.col("x").cast("double"), 6).alias("x")).to_df(spark)
 
 
@@ -181,16 +202,16 @@ def left_array_join(spark, d):
 # --- order and limits
 
 
-@query("SELECT o_orderkey, p FROM (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS p FROM orders) ORDER BY p DESC NULLS FIRST, o_orderkey ASC LIMIT 100")
+@query("SELECT o_orderkey, p FROM (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS p FROM orders) ORDER BY p DESC NULLS FIRST, o_orderkey ASC")
 def sort_nulls(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("p"))
-    return Query(o).order_by(F.col("p").desc_nulls_first(), asc("o_orderkey")).limit(100).to_df(spark)
+    return Query(o).order_by(F.col("p").desc_nulls_first(), asc("o_orderkey")).to_df(spark)
 
 
-@query("SELECT o_orderkey, p FROM (SELECT o_orderkey, nullif(o_orderpriority, '1-URGENT') AS p FROM orders) ORDER BY p ASC NULLS LAST, o_orderkey DESC LIMIT 50")
+@query("SELECT o_orderkey, p FROM (SELECT o_orderkey, nullif(o_orderpriority, '1-URGENT') AS p FROM orders) ORDER BY p ASC NULLS LAST, o_orderkey DESC")
 def sort_default(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("p"))
-    return Query(o).order_by("p", desc("o_orderkey")).limit(50).to_df(spark)
+    return Query(o).order_by("p", desc("o_orderkey")).to_df(spark)
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20 OFFSET 10")
@@ -239,6 +260,21 @@ def except_(spark, d):
     return relational.except_(*_two(spark, d))
 
 
+@query(f"{_A} INTERSECT ALL {_B}")
+def intersect_all(spark, d):
+    return relational.intersect_all(*_two(spark, d))
+
+
+@query(f"{_A} EXCEPT ALL {_B}")
+def except_all(spark, d):
+    return relational.except_all(*_two(spark, d))
+
+
+@query("SELECT p_partkey, p_size FROM part QUALIFY rank() OVER (ORDER BY p_size DESC) <= 15")
+def limit_with_ties(spark, d):
+    return modifiers.limit_with_ties(table(spark, d, "part").select("p_partkey", "p_size"), 15, desc("p_size"))
+
+
 @query(f"SELECT k FROM (({_A}) UNION ({_B})) ORDER BY k LIMIT 10")
 def set_order_limit(spark, d):
     return Query(relational.union(*_two(spark, d))).order_by("k").limit(10).to_df(spark)
@@ -257,6 +293,23 @@ def cte_multi(spark, d):
     return relational.with_queries(spark, "SELECT c_mktsegment, sum(n) AS n FROM a JOIN b ON o_custkey = c_custkey GROUP BY c_mktsegment", a=a, b=b)
 
 
+@query("WITH a AS (SELECT n_nationkey, n_name, n_regionkey FROM nation), b AS (SELECT * FROM region) SELECT n_name, r_name FROM a, b WHERE n_regionkey = r_regionkey")
+def cte_comma_join(spark, d):
+    return relational.with_queries(spark, "SELECT n_name, r_name FROM a, b WHERE n_regionkey = r_regionkey", a=table(spark, d, "nation"), b=table(spark, d, "region"))
+
+
+@query("WITH a AS (SELECT n_name FROM nation) SELECT 'from a join {a}' AS x, n_name FROM a")
+def cte_literal(spark, d):
+    """Literals that look like clauses stay as they are."""
+    return relational.with_queries(spark, "SELECT 'from a join {a}' AS x, n_name FROM a", a=table(spark, d, "nation"))
+
+
+@query("WITH RECURSIVE t(k) AS (SELECT 1 UNION ALL SELECT k + 1 FROM t WHERE k < 50) SELECT k, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM t JOIN lineitem ON l_quantity = k GROUP BY k")
+def cte_recursive(spark, d):
+    text = "WITH RECURSIVE t(k) AS (SELECT 1 UNION ALL SELECT k + 1 FROM t WHERE k < 50) SELECT k, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM t JOIN li ON l_quantity = k GROUP BY k"
+    return relational.with_queries(spark, text, li=table(spark, d, "lineitem"))
+
+
 @query("SELECT l_orderkey, sum(l_quantity) AS q FROM lineitem GROUP BY l_orderkey ORDER BY q DESC, l_orderkey LIMIT 25")
 def top_k_rows(spark, d):
     return Query(table(spark, d, "lineitem")).group_by("l_orderkey").select("l_orderkey", F.sum("l_quantity").alias("q")).order_by(desc("q"), "l_orderkey").limit(25).to_df(spark)

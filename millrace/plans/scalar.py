@@ -69,7 +69,38 @@ def if_multi_if(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", fn.if_(c("l_quantity") > 25, 1, 0).alias("i"), fn.multi_if().when(c("l_discount") > 0.08).then("a").when(c("l_discount") > 0.04).then("b").else_("c").alias("m"))
 
 
-@query()
+# The hashes of the event types.
+_HASHES = """('click', 15751250262173166970, 11411230916889287844, 7851395633440214954), ('error', 15735312805353345849, 15488826717309542915, 6881330540950751673), ('purchase', 12569234202965095745, 10271315167667621807, 7798363455734685992), ('signup', 12260798663447055749, 17202937401691715430, 18128963616329492549), ('view', 8207258920196207762, 8974016132366822871, 4012769036056163235)"""
+
+
+@query(f"SELECT event_id, city::VARCHAR AS city, xx::VARCHAR AS xx, xx42::VARCHAR AS xx42 FROM events JOIN (VALUES {_HASHES}) AS h(t, city, xx, xx42) ON event_type = t")
 def hashes(spark, d):
-    """CityHash64 and XXH64; held against published and independent values in the tests."""
-    return Query(table(spark, d, "events")).select("event_id", fn.city_hash_64("event_type").alias("city"), fn.xx_hash_64("event_type").alias("xx"), fn.xx_hash_64("props", 42).alias("xx42")).to_df(spark)
+    """CityHash64 and XXH64; held against published and independent values in the tests as well."""
+    return Query(table(spark, d, "events")).select("event_id", *[fn.to_string(h).alias(n) for n, h in (("city", fn.city_hash_64("event_type")), ("xx", fn.xx_hash_64("event_type")), ("xx42", fn.xx_hash_64("event_type", 42)))]).to_df(spark)
+
+
+@query("SELECT p_partkey, regexp_replace(p_name, '[0-9]+', '#', 'g') AS r, trim('  ' || p_brand || ' ') AS t, string_split(p_type, ' ')[1] AS first, to_base64(p_brand::BLOB) AS b, replace(p_name, 'a', '') AS x, round(sqrt(p_retailprice), 6) AS q, round(ln(p_retailprice), 6) AS l FROM part")
+def text_and_math(spark, d):
+    c = F.col
+    part = table(spark, d, "part")
+    return part.select("p_partkey", F.regexp_replace("p_name", "[0-9]+", "#").alias("r"), F.trim(F.concat(F.lit("  "), "p_brand", F.lit(" "))).alias("t"), F.split("p_type", " ")[0].alias("first"), F.base64(c("p_brand").cast("binary")).alias("b"), F.replace("p_name", F.lit("a"), F.lit("")).alias("x"), F.round(F.sqrt("p_retailprice"), 6).alias("q"), F.round(F.ln("p_retailprice"), 6).alias("l"))
+
+
+@query("SELECT o_orderkey, (o_orderdate + INTERVAL 1 MONTH) AS later, date_trunc('month', o_orderdate) AS month, last_day(o_orderdate)::VARCHAR AS last FROM orders")
+def intervals(spark, d):
+    o = table(spark, d, "orders")
+    return o.select("o_orderkey", (F.col("o_orderdate") + F.expr("INTERVAL 1 MONTH")).cast("timestamp_ntz").alias("later"), F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"), F.last_day("o_orderdate").cast("string").alias("last"))
+
+
+@query("SELECT user_id, cardinality(m)::BIGINT AS n, array_to_string(list_sort(map_keys(m)), ',') AS types, coalesce(m['click'], 0) AS clicks FROM (SELECT user_id, map_from_entries(list((event_type, n))) AS m FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) GROUP BY user_id)")
+def map_fns(spark, d):
+    by = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    m = by.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
+    return m.select("user_id", F.size("m").cast("bigint").alias("n"), F.array_join(F.array_sort(F.map_keys("m")), ",").alias("types"), F.coalesce(F.element_at("m", "click"), F.lit(0)).alias("clicks"))
+
+
+@query("SELECT event_id, (props->>'$.k')::BIGINT AS k, json_type(props, '$.k') IS NULL AS none FROM events")
+def json_typed(spark, d):
+    """JSON read as a variant, and a path of it as a type."""
+    v = F.try_parse_json("props")
+    return table(spark, d, "events").select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"), F.try_variant_get(v, "$.k", "string").isNull().alias("none"))
