@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from millrace import migrations
-from millrace.sources.tables import Catalog
+from millrace.sources.tables import Catalog, quoted
 
 
 def parser() -> argparse.ArgumentParser:
@@ -43,7 +43,7 @@ def main(argv=None, spark: SparkSession | None = None, out=sys.stdout) -> int:
         print(migrations.generate(a.migrations, a.name), file=out)
         return 0
     spark = spark or SparkSession.builder.appName("millrace").getOrCreate()
-    name = "`" + a.database.replace("`", "``") + "`"
+    name = quoted(a.database)
     if a.kind == "database":
         if a.what in ("drop", "reset"):
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")

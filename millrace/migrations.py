@@ -18,7 +18,8 @@ from pyspark.sql import SparkSession
 from millrace.errors import MigrationError
 from millrace.operators.dml import insert
 from millrace.operators.modifiers import final
-from millrace.sources.tables import SEQUENCE, TableDef, replacing
+from millrace.sources.tables import SEQUENCE, Engine, TableDef, replacing
+from millrace.sources.types import split_args
 
 
 @dataclass(frozen=True, order=True)
@@ -95,6 +96,42 @@ def statements(sql: str) -> list[str]:
     return [s for s in [*out, "".join(now).strip()] if s]
 
 
+#: Constant defaults of columns, and the functions that Spark has under another name.
+_DEFAULT = re.compile(r"(?:true|false|null|[+-]?\d+(?:\.\d+)?|'(?:[^'\\]|\\.)*')\Z", re.I)
+_CLOCKS = {"now()": "localtimestamp()", "today()": "current_date()"}
+
+
+def translated(sql: str) -> str:
+    """A CREATE TABLE text with an ENGINE clause as Spark's; other statements as they are.
+
+    Types become Spark's; key, engine and sampling key stay in the table's properties; PARTITION BY, TTL and SETTINGS
+    say how a server stores a table, and go.
+    """
+    m = re.fullmatch(r"\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?([\w.`]+)\s*\((.*)\)\s*ENGINE\s*=\s*(\w+)\s*(?:\(([^)]*)\))?(.*)", sql, re.S | re.I)
+    if not m:
+        return sql
+    columns, defaults = {}, {}
+    for part in split_args(m[2]):
+        if re.match(r"(?:INDEX|PROJECTION|CONSTRAINT|PRIMARY\s+KEY)\b", part, re.I):
+            continue
+        name, rest = re.match(r"`?(\w+)`?\s+(.*)", part, re.S).groups()
+        kind, *more = re.split(r"\s+(?=(?:DEFAULT|CODEC|COMMENT|TTL|MATERIALIZED|ALIAS)\b)", rest, flags=re.I)
+        columns[name] = kind.strip()
+        for x in more:
+            if d := re.match(r"DEFAULT\s+(.+)", x, re.S | re.I):
+                text = _CLOCKS.get(d[1].strip().lower(), d[1].strip())
+                if not _DEFAULT.match(text) and text not in _CLOCKS.values():
+                    raise MigrationError(f"{name}: no counterpart of the default {text}")
+                defaults[name] = text
+    clause = lambda word: re.search(rf"\b{word}\s+(?:\(([^)]*)\)|([\w`]+))", m[5], re.I)
+    found = clause(r"ORDER\s+BY") or clause(r"PRIMARY\s+KEY")
+    key = [x.strip("` ") for x in (found[1] or found[2] or "").split(",") if x.strip()] if found else []
+    sample = clause(r"SAMPLE\s+BY")
+    engine = Engine(m[3], tuple(x.strip("` ") for x in (m[4] or "").split(",") if x.strip()))
+    table = TableDef.of(m[1].replace("`", ""), columns, [k for k in key if k in columns], engine=engine, sample_by=sample[2] if sample and sample[2] in columns else None)
+    return table.ddl(defaults)
+
+
 def generate(path: str | Path, name: str, version: int | None = None) -> Path:
     """Makes the folder of a new migration."""
     at = Path(path) / f"{version or time.strftime('%Y%m%d%H%M%S')}_{re.sub(r'\W+', '_', name.lower())}"
@@ -146,7 +183,7 @@ class Harness:
         if text is None:
             raise MigrationError(f"{m.version}_{m.name} has no down.sql")
         for s in statements(text):
-            self.spark.sql(s)
+            self.spark.sql(translated(s))
         self._record(m, up)
 
     def run(self, to: int | None = None) -> list[int]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,36 @@ from pyspark.sql import types as T
 from millrace.errors import NotFound, SchemaMismatch
 from millrace.sources.types import parse
 
+#: The table property that keeps a definition.
+PROPERTY = "millrace.definition"
+
+
+def quoted(name: str) -> str:
+    """An identifier for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value) -> str:
+    """A value for SQL text: strings are quoted, with backslashes and quotes escaped."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, list | tuple):
+        return f"array({', '.join(map(literal, value))})"
+    if isinstance(value, bytes):
+        return f"X'{value.hex()}'"
+    if isinstance(value, int | float | Decimal):
+        return repr(value) if not isinstance(value, Decimal) else f"{value}BD"
+    if isinstance(value, datetime):
+        return f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S.%f}'" if value.tzinfo is None else f"TIMESTAMP '{value.isoformat()}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    raise SchemaMismatch(f"no literal for {type(value).__name__}")
+
+
 #: Column that an insert adds to tables whose FINAL needs the order of insertion.
 SEQUENCE = "_ingest_seq"
 
@@ -92,8 +125,15 @@ class TableDef:
     def scan(self, spark: SparkSession) -> DataFrame:
         """The table's rows, a file scan or a catalog table, with its merge metadata on the columns."""
         df = spark.read.parquet(self.path) if self.path else spark.table(self.name)
+        df = df.cache() if self.engine.name == "Memory" else df
         return df.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) if f.metadata else F.col(f.name) for f in self.schema if f.name in df.columns], *[c for c in (SEQUENCE,) if c in df.columns])
 
+    def variants(self, spark: SparkSession) -> DataFrame:
+        """The rows with JSON columns as variants, whose paths can be taken by type; null where the text is no JSON."""
+        json_ = {name for name, kind in self.columns if kind.removeprefix("Nullable(").rstrip(")") == "JSON" or kind.startswith("Object(")}
+        df = self.scan(spark)
+        return df.select(*[F.try_parse_json(c).alias(c) if c in json_ else F.col(c) for c in df.columns])
+
     def find(self, spark: SparkSession, *key) -> DataFrame:
         """The row with a primary key."""
         if len(key) != len(self.key):
@@ -111,15 +151,18 @@ class TableDef:
                     return F.col(f"{a.name}.{column}") == F.col(f"{b.name}.{theirs}")
         raise NotFound(f"no foreign key between {self.name} and {other.name}")
 
-    def ddl(self) -> str:
-        """CREATE TABLE for Spark's catalog."""
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in self.schema)
-        return f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet"
+    def ddl(self, defaults: dict[str, str] | None = None) -> str:
+        """CREATE TABLE for Spark's catalog; its properties keep what Spark's types do not: types, key and engine. ``defaults``: SQL of column defaults."""
+        of = defaults or {}
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}{f' DEFAULT {of[f.name]}' if f.name in of else ''}" for f in self.schema)
+        kept = {"types": dict(self.columns), "key": self.key, "engine": [self.engine.name, *self.engine.columns], "sample_by": self.sample_by}
+        return f"CREATE TABLE IF NOT EXISTS {'.'.join(map(quoted, self.name.split('.')))} ({columns}) USING parquet TBLPROPERTIES ('{PROPERTY}' = {literal(json.dumps(kept))})"
 
     def render(self) -> str:
         """Python source of this definition."""
         columns = ", ".join(f"{n!r}: {k!r}" for n, k in self.columns)
-        return f"{self.name} = TableDef.of({self.name!r}, {{{columns}}}, key={self.key!r})\n"
+        more = f", engine=Engine({self.engine.name!r}, {self.engine.columns!r})" if self.engine != merge_tree() else ""
+        return f"{self.name} = TableDef.of({self.name!r}, {{{columns}}}, key={self.key!r}{more}{f', sample_by={self.sample_by!r}' if self.sample_by else ''})\n"
 
 
 def expect_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -145,17 +188,29 @@ class Catalog:
         names = sorted(t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary)
         return [n for n in names if not n.startswith((".", "__")) and (not only or n in only) and n not in without]
 
-    def columns(self, name: str) -> list[tuple[str, str, bool]]:
-        """Name, type and whether the column partitions or buckets the table."""
+    def kept(self, name: str) -> dict:
+        """What a table's properties hold of its definition; empty for tables that others made."""
         at = f"{self.database}.{name}" if self.database else name
-        return [(c.name, c.dataType, c.isPartition or c.isBucket) for c in self.spark.catalog.listColumns(at)]
+        found = {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {'.'.join(map(quoted, at.split('.')))}").collect()}
+        return json.loads(found[PROPERTY]) if PROPERTY in found else {}
+
+    def columns(self, name: str) -> list[tuple[str, str, bool]]:
+        """Name, type and whether the column is of the sorting key, or partitions or buckets a table that others made."""
+        at, kept = f"{self.database}.{name}" if self.database else name, self.kept(name)
+        return [(c.name, c.dataType, c.name in kept["key"] if kept else c.isPartition or c.isBucket) for c in self.spark.catalog.listColumns(at)]
+
+    def definition(self, name: str) -> TableDef:
+        """The table as a definition, with its key and engine where it was made from one."""
+        kept, found = self.kept(name), self.columns(name)
+        if not kept:
+            return TableDef.of(name, {c: _type_name(kind) for c, kind, _ in found}, [c for c, _, k in found if k])
+        return TableDef.of(name, kept["types"], kept["key"], engine=Engine(kept["engine"][0], tuple(kept["engine"][1:])), sample_by=kept["sample_by"])
 
     def print_schema(self, only=(), without=()) -> str:
         """Source of a definition for each table."""
         out = []
         for name in self.tables(only, without):
-            found = self.columns(name)
-            out.append(TableDef.of(name, {c: _type_name(kind) for c, kind, _ in found}, [c for c, _, k in found if k]).render())
+            out.append(self.definition(name).render())
         return "".join(out)
 
 

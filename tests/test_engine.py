@@ -332,3 +332,41 @@ def test_reset_runs_the_migrations_again(spark, tmp_path):
         spark.sql("DROP DATABASE IF EXISTS reset_db CASCADE")
     own = migrations.embedded({"2_b": ("SELECT 2", "SELECT 0"), "1_a": "SELECT 1"})
     assert [(m.version, m.name, m.down) for m in own] == [(1, "a", None), (2, "b", "SELECT 0")]
+
+
+def test_definitions_come_back_from_the_catalog(spark, tmp_path):
+    t = TableDef.of("kept_t", {"id": "UInt64", "at": "DateTime('UTC')", "v": "Enum8('it''s' = 1)", "j": "JSON"}, ("id", "at"), engine=tables.replacing("id"), sample_by="id")
+    spark.sql(t.ddl())
+    try:
+        found = Catalog(spark)
+        assert found.definition("kept_t") == t and [k for *_, k in found.columns("kept_t")] == [True, True, False, False]
+        assert "engine=Engine('ReplacingMergeTree', ('id',))" in found.print_schema(only=["kept_t"])
+    finally:
+        spark.sql("DROP TABLE kept_t")
+    m = TableDef.of("m", {"k": "Int64", "j": "JSON"}, "k", engine=tables.memory(), path=str(tmp_path / "m"))
+    dml.insert(spark, m, [(1, '{"a": {"b": 5}}'), (2, "no")])
+    assert m.scan(spark).storageLevel.useMemory
+    assert rows(m.variants(spark).select("k", F.try_variant_get("j", "$.a.b", "int"))) == [(1, 5), (2, None)]
+
+
+def test_literals_and_names_are_escaped(spark):
+    for value in ("O'Brien", "a\\\\b", "x' OR '1'='1", "`", "%_", "é\n"):
+        assert spark.sql(f"SELECT {tables.literal(value)} AS x").first().x == value
+        assert spark.sql(f"SELECT 1 AS {tables.quoted(value)}").columns == [value]
+    when = datetime.datetime(2024, 2, 29, 1, 2, 3)
+    assert spark.sql(f"SELECT {tables.literal([1, 2])} AS a, {tables.literal(when)} AS t, {tables.literal(when.date())} AS d, {tables.literal(None)} AS n, {tables.literal(True)} AS b").first()[:] == ([1, 2], when, when.date(), None, True)
+
+
+def test_create_table_texts_are_translated(spark):
+    text = "CREATE TABLE IF NOT EXISTS tr_a (\n id UInt64,\n `name` String CODEC(ZSTD(1)),\n tags Array(String),\n ok Bool DEFAULT true,\n at DateTime DEFAULT now()\n) ENGINE = ReplacingMergeTree(at)\nPARTITION BY toYYYYMM(at) ORDER BY (id, at) SETTINGS index_granularity = 8192"
+    spark.sql(migrations.translated(text))
+    try:
+        t = Catalog(spark).definition("tr_a")
+        assert t.key == ("id", "at") and t.engine == tables.replacing("at") and t.columns[2] == ("tags", "Array(String)")
+        spark.sql("INSERT INTO tr_a (id, name, tags) VALUES (1, 'x', array('a'))")
+        assert [(r.id, r.ok, r.at is not None) for r in spark.table("tr_a").collect()] == [(1, True, True)]
+    finally:
+        spark.sql("DROP TABLE tr_a")
+    assert migrations.translated("SELECT ';'") == "SELECT ';'"
+    with pytest.raises(MigrationError):
+        migrations.translated("CREATE TABLE t (a Int8 DEFAULT rand()) ENGINE = Log")
