@@ -1,7 +1,13 @@
 """A corpus pipeline of five operators: quality rules, line dedup, SimHash near-dedup, benchmark decontamination, packing.
 
 Each stage is written as Parquet and read again as the next one's documents, so a lost executor costs a
-stage at most. All stages but the last return the columns of documents.
+stage at most. All stages but the last return the columns of documents, whatever further columns there are.
+
+Null and empty texts have fewer words than the quality rules ask for and go in the first stage; so does nothing else
+for a null lang or source, which form groups of their own. Repeated rows (equal doc_id and text) count as one where repeats are
+looked for, so they do not remove each other, and each is packed. Rows without a doc_id stay in the near-copy stage. Of texts
+that tie, the one with the smallest doc_id stays. Texts may be of any length. Empty tables give an empty result; without
+benchmark items nothing is taken for a leak.
 """
 
 from __future__ import annotations
