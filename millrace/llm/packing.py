@@ -8,7 +8,7 @@ pattern is repeated as often as the counts allow, as the greedy choice would. Pi
 places of their length by rank, which needs no task to see all pieces of a length.
 
 A null text counts as empty; every document ends with ``end_id``, so no piece is empty. Longer
-documents are cut into pieces of the capacity, and the first piece may be shorter. Repeated rows are
+documents, however long, are cut into pieces of the capacity, and the first piece may be shorter. Repeated rows are
 packed each; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import Work, table
 
+#: Buckets of a length's pieces at least; the session's shuffle partitions where there are more.
 BUCKETS = 256
 
 
@@ -108,7 +109,8 @@ def pack(docs: DataFrame, work: Work, tokenizer: str, end_id: int = 2, capacity:
     table_of = {length: np.array(s, dtype=np.int64).T for length, s in slots.items()}
 
     # a hash bucket besides the length, so that no length meets in one task
-    bucketed = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS)))
+    buckets = max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bucketed = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     by_length = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = bucketed.groupBy("length", "bucket").count().withColumn("before", F.coalesce(F.sum("count").over(by_length), F.lit(0))).drop("count")
     within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")

@@ -268,7 +268,9 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
     ordered = halves.repartition("part").sortWithinPartitions("part")
     found = work.write(ordered.select("key", "context", "n", "part", "from", "place", "span").mapInArrow(build, "key long, context long, a long, z long"), "runs")
     parts = rows.filter("several").select("key", "context", "row", "first").join(found, ["key", "context"]).select("row", (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("z")).alias("last"))
-    return whole.union(parts)
+    out = work.write(whole.union(parts), "windows")
+    work.drop(twice, rows, found)
+    return out
 
 
 def dedup(docs: DataFrame, work: Work, need: int = NEED, text: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ for every record, its offset and the length of its data, so that a reader can sh
 range reads and need not scan the shard.
 
 Rows are written in ascending key order: null keys first, ties by a hash of the text. A null text counts as
-empty; each document ends with ``end_id``. Repeated rows give repeated records. An empty table gives
+empty; each document, however long, is one record and ends with ``end_id``. Repeated rows give repeated records. An empty table gives
 no records. Extra columns are ignored.
 """
 
