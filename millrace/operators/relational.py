@@ -24,8 +24,8 @@ def not_in_subquery(df: DataFrame, column: str, sub: DataFrame) -> DataFrame:
     An empty subquery keeps every row; one with a null keeps none; else rows with a null do not count.
     """
     sub = _named(sub)
-    counts = sub.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_s0").isNull()).alias("nulls"))
-    n, nulls = counts.select("n").scalar(), counts.select("nulls").scalar()
+    counts = sub.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_s0").isNull()).alias("nulls"))).scalar()
+    n, nulls = counts["n"], counts["nulls"]
     left = df.join(sub.filter("_s0 IS NOT NULL"), F.col(column) == F.col("_s0"), "left_anti")
     return left.filter((n == 0) | ((nulls == 0) & F.col(column).isNotNull()))
 

@@ -214,6 +214,9 @@ class Query:
         df = df.groupingSets([keys, []], *keys).agg(*aggregates, (F.grouping_id() > 0).alias(modifiers.TOTAL))
         places = [*places, len(keys) + len(aggregates)]
         total = F.col(modifiers.TOTAL)
+        if self.limit_ is None and not (self.offset_ or self.by or self.is_distinct):
+            df = df if self.having_ is None else df.filter(total | self.having_)
+            return _pick(df.orderBy(total, *map(ordered, self.order)) if self.order else df, places)
         body = df.filter(~total)
         body = self._sliced(self._cut(body if self.having_ is None else body.filter(self.having_), places=places))
         both = body.union(_pick(df.filter(total), places))
