@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -48,6 +48,40 @@ def single_value(sub: DataFrame) -> Column:
     return sub.scalar()
 
 
+def asof_join(left: DataFrame, right: DataFrame, time: str, by: list[str], columns: list[str], inner: bool = False) -> DataFrame:
+    """Each row of ``left`` with ``columns`` of the last row of ``right`` that has its keys and is no later; nulls, or no row where ``inner``, if there is none.
+
+    Both sides go in one sort by keys and time, so no pair of rows is made. Rows of ``right`` with a null time are no match;
+    of several at one time any may be the match.
+    """
+    names = left.columns
+    mine = left.select(*[F.col(c) for c in names], F.lit(1).alias("_side"), F.lit(None).cast(_struct(right, columns)).alias("_row"))
+    keyed = {c: F.col(c).cast(left.schema[c].dataType).alias(c) for c in [*by, time]}
+    theirs = right.filter(F.col(time).isNotNull()).select(*[keyed[c] if c in keyed else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in names], F.lit(0).alias("_side"), F.struct(*columns).alias("_row"))
+    last = Window.partitionBy(*by).orderBy(F.col(time).asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = mine.union(theirs).withColumn("_row", F.last("_row", ignorenulls=True).over(last)).filter("_side = 1")
+    matched = F.col(time).isNotNull() & F.col("_row").isNotNull()
+    for k in by:  # keys that are null equal nothing
+        matched &= F.col(k).isNotNull()
+    out = both.filter(matched) if inner else both
+    return out.select(*names, *[F.when(matched, F.col("_row")[c]).alias(c) for c in columns])
+
+
+def _struct(df: DataFrame, columns: list[str]):
+    return df.select(F.struct(*columns).alias("s")).schema["s"].dataType
+
+
+def range_join(left: DataFrame, right: DataFrame, point: str, low: str, high: str, width: float) -> DataFrame:
+    """Pairs with ``low <= point < high``, by an equality on cells of ``width``: an interval stands in each cell that it touches.
+
+    Choose a width near the usual length of an interval; then each point meets the intervals of its own cell only.
+    """
+    cell = lambda c: F.floor(c / F.lit(float(width)))
+    cells = right.filter(F.col(low) < F.col(high)).withColumn("_cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high)))))
+    on = (F.col("_at") == F.col("_cell")) & (F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))
+    return left.withColumn("_at", cell(F.col(point))).join(cells, on).drop("_at", "_cell")
+
+
 def union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.union(b).distinct()
 

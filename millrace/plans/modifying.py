@@ -30,6 +30,18 @@ def final_aggregating(spark, d):
     return modifiers.final(parts, tables.aggregating(), "user_id").withColumn("total", F.round("total", 2))
 
 
+@query("SELECT event_type, round(avg(value), 6) AS mean, array_to_string(list_sort(list(DISTINCT user_id % 10)), ',') AS tails, count(*) AS n, TRUE AS near FROM events GROUP BY event_type")
+def final_states(spark, d):
+    """Partial states of each user merged by type: a mean, a set, a list and a sketch of distinct events, within 10 %."""
+    v = F.col("value")
+    e = table(spark, d, "events").groupBy("event_type", "user_id").agg(F.struct(F.sum(v).alias("sum"), F.count(v).alias("count")).alias("mean"), F.collect_set(F.col("user_id") % 10).alias("tails"), F.collect_list("event_id").alias("ids"), F.hll_sketch_agg("event_id", 14).alias("seen")).drop("user_id")
+    how = {"mean": "avg", "tails": "groupUniqArray", "ids": "groupArray", "seen": "uniqCombined"}
+    found = modifiers.final(e.select("event_type", *[F.col(c).alias(c, metadata={"agg": a}) for c, a in how.items()]), tables.aggregating(), "event_type")
+    n = F.size("ids").cast("bigint")
+    tails = F.array_join(F.transform(F.array_sort("tails"), lambda x: x.cast("string")), ",")
+    return found.select("event_type", F.round(F.col("mean.sum") / F.col("mean.count"), 6).alias("mean"), tails.alias("tails"), n.alias("n"), (F.abs(F.hll_sketch_estimate("seen") - n) <= 0.1 * n).alias("near"))
+
+
 @query("WITH s AS (SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END AS sign FROM events) SELECT user_id, max(event_id) FILTER (sign = 1) AS event_id, 1 AS sign FROM s GROUP BY user_id HAVING sum(sign) > 0")
 def final_collapsing(spark, d):
     e = table(spark, d, "events").select("user_id", "event_id", F.when(F.col("event_id") % 3 == 0, -1).otherwise(1).alias("sign"), F.col("event_id").alias(tables.SEQUENCE))

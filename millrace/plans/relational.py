@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace import functions as fn
 from millrace.operators import modifiers, relational
 from millrace.plans.catalogue import query, table
 from millrace.plans.query import Query, asc, desc
@@ -199,6 +200,26 @@ def left_array_join(spark, d):
     return Query(o).left_array_join("tags", default_fill=True).to_df(spark)
 
 
+@query("SELECT p.event_id, p.user_id, v.event_id AS view_id, v.value AS view_value FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts")
+def asof_join(spark, d):
+    """The last view of its user before each purchase."""
+    e = table(spark, d, "events")
+    views = e.filter("event_type = 'view'").select("ts", "user_id", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
+    return relational.asof_join(e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), views, "ts", ["user_id"], ["view_id", "view_value"]).drop("ts")
+
+
+@query("SELECT o_orderkey, c_custkey FROM orders JOIN customer ON o_totalprice >= 40 * c_acctbal AND o_totalprice < 40 * c_acctbal + 30")
+def range_join(spark, d):
+    """Orders whose price lies in a customer's range, without comparing all pairs."""
+    ranges = table(spark, d, "customer").select("c_custkey", (40 * F.col("c_acctbal")).alias("low"), (40 * F.col("c_acctbal") + 30).alias("high"))
+    return relational.range_join(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ranges, "o_totalprice", "low", "high", 30).select("o_orderkey", "c_custkey")
+
+
+@query("SELECT vec_id, unnest(list_slice(embedding, 1, 64))::DOUBLE > 0 AS positive FROM embeddings")
+def array_join_function(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", fn.array_join("embedding").alias("x")).select("vec_id", (F.col("x") > 0).alias("positive"))
+
+
 # --- order and limits
 
 
@@ -298,6 +319,14 @@ def cte_comma_join(spark, d):
     return relational.with_queries(spark, "SELECT n_name, r_name FROM a, b WHERE n_regionkey = r_regionkey", a=table(spark, d, "nation"), b=table(spark, d, "region"))
 
 
+@query("SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority")
+def cte_dynamic(spark, d):
+    """As many named queries as a loop makes."""
+    o = table(spark, d, "orders")
+    parts = {f"p{i}": o.filter((F.col("o_orderkey") % 4 == i) & (F.col("o_totalprice") > 100000)).select("o_orderpriority") for i in range(4)}
+    return relational.with_queries(spark, f"SELECT o_orderpriority, count(*) AS n FROM ({' UNION ALL '.join(f'SELECT * FROM {p}' for p in parts)}) GROUP BY o_orderpriority", **parts)
+
+
 @query("WITH a AS (SELECT n_name FROM nation) SELECT 'from a join {a}' AS x, n_name FROM a")
 def cte_literal(spark, d):
     """Literals that look like clauses stay as they are."""

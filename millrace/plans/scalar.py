@@ -79,6 +79,11 @@ def hashes(spark, d):
     return Query(table(spark, d, "events")).select("event_id", *[fn.to_string(h).alias(n) for n, h in (("city", fn.city_hash_64("event_type")), ("xx", fn.xx_hash_64("event_type")), ("xx42", fn.xx_hash_64("event_type", 42)))]).to_df(spark)
 
 
+@query("SELECT event_type, count(*) FILTER (ts <= current_localtimestamp()) AS past, count(*) FILTER (ts::DATE < today()) AS days_ago FROM events GROUP BY event_type")
+def clocks(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(fn.count_if(F.col("ts") <= fn.now()).alias("past"), fn.count_if(fn.to_date("ts") < fn.today()).alias("days_ago"))
+
+
 @query("SELECT p_partkey, regexp_replace(p_name, '[0-9]+', '#', 'g') AS r, trim('  ' || p_brand || ' ') AS t, string_split(p_type, ' ')[1] AS first, to_base64(p_brand::BLOB) AS b, replace(p_name, 'a', '') AS x, round(sqrt(p_retailprice), 6) AS q, round(ln(p_retailprice), 6) AS l FROM part")
 def text_and_math(spark, d):
     c = F.col

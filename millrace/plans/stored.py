@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import dml
 from millrace.plans.catalogue import query, table
 from millrace.plans.query import Query
-from millrace.sources import scratch, tables
+from millrace.sources import external, scratch, tables
 from millrace.streaming import events, sinks
 
 _ORDER = {"o_orderkey": "Int64", "o_orderstatus": "Nullable(String)", "o_totalprice": "Float64"}
@@ -67,12 +67,11 @@ def find_row(spark, d):
 def formats(spark, d):
     """All orders written in each format and read back."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    at, schema, out = scratch.folder(spark, "formats"), "o_orderkey long, o_orderpriority string", None
+    at, out = scratch.folder(spark, "formats"), None
+    t = tables.TableDef.of("orders", {"o_orderkey": "Nullable(Int64)", "o_orderpriority": "Nullable(String)"}, "o_orderkey")
     for name in ("JSONEachRow", "CSVWithNames", "TabSeparated", "Native", "ORC"):
         sinks.write_format(o, name, f"{at}/{name}", "none")
-        read = spark.read.schema(schema)
-        back = {"JSONEachRow": read.json, "CSVWithNames": lambda p, r=read: r.csv(p, header=True), "TabSeparated": lambda p, r=read: r.csv(p, sep="\t", nullValue="\\N"), "Native": read.parquet, "ORC": read.orc}[name](f"{at}/{name}")
-        one = back.agg(F.lit(name).alias("format"), F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.count_distinct("o_orderpriority").alias("priorities"))
+        one = external.files(spark, t, name, f"{at}/{name}").agg(F.lit(name).alias("format"), F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.count_distinct("o_orderpriority").alias("priorities"))
         out = one if out is None else out.union(one)
     return out
 

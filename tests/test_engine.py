@@ -13,7 +13,7 @@ from millrace.errors import InvalidQuery, MigrationError, NotFound, SchemaMismat
 from millrace.functions.hashes import city64
 from millrace.operators import dml, modifiers, relational
 from millrace.plans.query import Query, desc, find
-from millrace.sources import raw, tables
+from millrace.sources import external, raw, tables
 from millrace.sources.tables import SEQUENCE, Catalog, TableDef
 from millrace.streaming import events, sinks
 
@@ -370,3 +370,29 @@ def test_create_table_texts_are_translated(spark):
     assert migrations.translated("SELECT ';'") == "SELECT ';'"
     with pytest.raises(MigrationError):
         migrations.translated("CREATE TABLE t (a Int8 DEFAULT rand()) ENGINE = Log")
+
+
+def test_asof_and_range_joins(spark):
+    left = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "b", 9), (4, None, 9), (5, "a", None)], "id int, k string, t int")
+    right = spark.createDataFrame([("a", 2, 20), ("a", 5, 50), ("a", 6, 60), ("b", None, 0), (None, 1, 1)], "k string, t int, v int")
+    assert rows(relational.asof_join(left, right, "t", ["k"], ["v"]).select("id", "v")) == [(1, 50), (2, None), (3, None), (4, None), (5, None)]
+    assert rows(relational.asof_join(left, right, "t", ["k"], ["v"], inner=True)) == [(1, "a", 5, 50)]
+    rng = random.Random(3)
+    points = [(i, rng.uniform(-50, 50)) for i in range(80)]
+    spans = [(j, a, a + rng.choice([0.0, 0.5, 7.0, 40.0])) for j in range(40) for a in [rng.uniform(-50, 50)]]
+    got = relational.range_join(spark.createDataFrame(points, "i int, x double"), spark.createDataFrame(spans, "j int, lo double, hi double"), "x", "lo", "hi", 5)
+    assert rows(got.select("i", "j")) == sorted(((i, j) for i, x in points for j, a, b in spans if a <= x < b), key=str)
+
+
+def test_external_files(spark, tmp_path):
+    t = TableDef.of("t", {"k": "Nullable(Int64)", "s": "Nullable(String)"}, "k")
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k long, s string")
+    for name in external.READERS:
+        sinks.write_format(df, name, str(tmp_path / name))
+        assert rows(external.files(spark, t, name, str(tmp_path / name))) == [(1, "a"), (2, None)]
+    (tmp_path / "odd.csv").write_text("x,y\n3,z\n")
+    assert rows(external.files(spark, t, "CSV", str(tmp_path / "odd.csv"), strict=False)) == [(3, "z"), (None, "y")]
+    with pytest.raises(Exception):
+        external.files(spark, t, "CSV", str(tmp_path / "odd.csv")).collect()
+    with pytest.raises(InvalidQuery):
+        external.files(spark, t, "XML", "x")
