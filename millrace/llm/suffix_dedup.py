@@ -17,8 +17,9 @@ collection are chosen such that equal windows always meet:
 
 Contexts are told apart by the anchor's hash and their own (128 bits). Only contexts of repeated anchors with several
 contexts need their bytes; a bit map of fixed size keeps others from the shuffle. (It may let some through, and the
-join by the full hash drops these.) One part's different strings are held by one task, about ``10 * need`` bytes
-of memory for each. Long texts are scanned ``1 << PLACE`` bytes at a time.
+join by the full hash drops these.) A part of up to ``EXTERNAL`` different strings is built in memory, some ``10 * need``
+bytes for each; a larger one through sequential files in the shared folder (``_construct_files``), where a round reads the
+transform and the prefixes block by block and writes them anew, and memory holds the strings and a place for each. Long texts are scanned ``1 << PLACE`` bytes at a time.
 
 Matches never cross rows. A null text counts as empty. Rows with equal doc_id and text are each an
 occurrence of their strings. Texts shorter than ``need`` stay whole. An empty table gives no rows;
@@ -28,12 +29,13 @@ extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, row_key, table
+from .common import Work, file_system, row_key, table
 
 NEED = 200
 GRAM = 128
@@ -41,6 +43,10 @@ GRAM = 128
 BATCH = 4096
 #: Bytes of a symbol, where strings share an anchor.
 STEP = 8
+#: Different strings of a collection from which its transform lies in files.
+EXTERNAL = 1 << 17
+#: Rows of a file that are read at a time.
+BLOCK = 1 << 20
 PLACE = 20
 _P = 0x9E3779B97F4A7C15 | 1
 
@@ -77,14 +83,16 @@ def _anchors(b: np.ndarray, need: int, base: int):
     return at[first] + base, h[at[first]], first + base, last + base
 
 
-def repeated(strings: list[bytes], counts, need: int = NEED, places=None) -> list[np.ndarray]:
+def repeated(strings: list[bytes], counts, need: int = NEED, places=None, folder: str | None = None) -> list[np.ndarray]:
     """Of each string: for every start of a window of ``need`` bytes, whether that window occurs again in the collection.
 
     ``places``: a byte of each string that stands at the same place in all equal windows (the anchor). Then
     ``STEP`` bytes make a symbol, cut at these places, and the construction runs once for each of
     the ``STEP`` shifts: every window is a run of whole symbols in one of them, and the work, which grows with
-    the square of a string's symbols, falls to a part. Without places a byte is a symbol.
+    the square of a string's symbols, falls to a part. Without places a byte is a symbol, and so it is where the
+    transform goes to files in ``folder``.
     """
+    places = None if folder else places
     out = [np.full(len(s) - need + 1, n > 1) for s, n in zip(strings, counts)]
     step = STEP if places is not None and need % STEP == 0 else 1
     for shift in range(step):
@@ -96,7 +104,8 @@ def repeated(strings: list[bytes], counts, need: int = NEED, places=None) -> lis
         values, symbols = np.unique(np.concatenate([cut[i] for i in some]), return_inverse=True)
         kind = np.uint8 if len(values) < 255 else np.uint16 if len(values) < 65535 else np.uint32
         symbols = np.split(symbols.astype(kind), np.cumsum([len(cut[i]) for i in some])[:-1])
-        for i, flags in zip(some, _construct(symbols, need // step, np.iinfo(kind).max)):
+        built = _construct_files(symbols, need, np.iinfo(kind).max, folder) if folder else _construct(symbols, need // step, np.iinfo(kind).max)
+        for i, flags in zip(some, built):
             out[i][starts[i] :: step][: len(flags)] |= flags
     return out
 
@@ -147,6 +156,157 @@ def _construct(strings: list[np.ndarray], need: int, end: int) -> list[np.ndarra
     return [flags[n : need - 1 : -1, i] for i, n in enumerate(lengths)]
 
 
+class Rows:
+    """A sequential file of numbers, read in blocks and written once."""
+
+    def __init__(self, path: str, kind, size: int = 0):
+        self.path, self.kind, self.size = path, np.dtype(kind), size
+        self.system, self.at = file_system(path)
+
+    def write(self, parts) -> Rows:
+        self.system.create_dir(self.at.rsplit("/", 1)[0], recursive=True)
+        self.size = 0
+        with self.system.open_output_stream(self.at, buffer_size=1 << 20) as out:
+            for part in parts:
+                out.write(np.ascontiguousarray(part, dtype=self.kind).tobytes())
+                self.size += len(part)
+        return self
+
+    def blocks(self):
+        """First place and rows of each block."""
+        with self.system.open_input_stream(self.at, buffer_size=1 << 20) as f:
+            for at in range(0, self.size, BLOCK):
+                yield at, np.frombuffer(f.read(min(BLOCK, self.size - at) * self.kind.itemsize), dtype=self.kind)
+
+    def drop(self) -> None:
+        self.system.delete_file(self.at)
+
+
+def _ranks(bwt: Rows, at: np.ndarray, symbol: np.ndarray, end: int, block=None) -> tuple[np.ndarray, np.ndarray]:
+    """Of each place in the transform, which holds the symbol: the number of equal ones before; and the number of every symbol.
+
+    ``block``: is called with each block's first place, its order by symbol and where each symbol begins in that.
+    """
+    count, rank = np.zeros(end + 1, dtype=np.int64), np.empty(len(at), dtype=np.int64)
+    order = np.argsort(at, kind="stable")
+    sorted_at = at[order]
+    for first, b in bwt.blocks():
+        by = np.argsort(b, kind="stable")
+        starts = np.searchsorted(b[by], np.arange(end + 2))
+        mine = order[slice(*np.searchsorted(sorted_at, [first, first + len(b)]))]
+        if len(mine):
+            place = np.empty(len(b), dtype=np.int64)
+            place[by] = np.arange(len(b))
+            rank[mine] = count[symbol[mine]] + place[at[mine] - first] - starts[symbol[mine]]
+        if block is not None:
+            block(by, starts)
+        count += np.diff(starts)
+    return rank, count
+
+
+def _construct_files(strings: list[np.ndarray], need: int, end: int, folder: str) -> list[np.ndarray]:
+    """As ``_construct``, with the transform and the common prefixes in files that each round reads and writes in order."""
+    m, lengths = len(strings), np.array([len(s) for s in strings])
+    most = int(lengths.max())
+    columns = np.full((most + 1, m), end, dtype=strings[0].dtype)
+    for i, s in enumerate(strings):
+        columns[: len(s), i] = s[::-1]
+    bwt = Rows(f"{folder}/bwt-0", columns.dtype).write([columns[0]])
+    common = Rows(f"{folder}/common-0", np.uint8).write([np.zeros(m, dtype=np.uint8)])
+    at = np.arange(m)
+    for k in range(1, most + 1):
+        on = np.flatnonzero(lengths >= k)
+        symbol = columns[k - 1, on].astype(np.int64)
+        piles: dict[int, tuple[Rows, object]] = {}
+        seen, least = np.zeros(end + 1, dtype=bool), np.full(end + 1, 255, dtype=np.uint8)
+        prefixes = common.blocks()
+
+        def extend(by, starts):
+            """What follows a symbol keeps its order behind it: the prefix it shares with the one before is one longer than the least between."""
+            nonlocal seen, least
+            _, common_block = next(prefixes)
+            n = len(by)
+            lo = np.empty(n, dtype=np.int64)
+            lo[1:] = by[:-1] + 1
+            there = np.flatnonzero(np.diff(starts))
+            lo[starts[there]] = 0
+            value = _least(common_block, lo, by)
+            firsts = starts[there]
+            value[firsts] = np.minimum(value[firsts], least[there])
+            value = np.minimum(value, need - 1) + 1
+            value[firsts[~seen[there]]] = 0
+            for c in there.tolist():
+                if c != end:
+                    if c not in piles:
+                        rows = Rows(f"{folder}/pile-{k}-{c}", np.uint8)
+                        piles[c] = rows, rows.system.open_output_stream(rows.at)
+                    piles[c][1].write(value[starts[c] : starts[c + 1]].tobytes())
+                    piles[c][0].size += int(starts[c + 1] - starts[c])
+            # the least since the last of each symbol
+            last = by[starts[there + 1] - 1] + 1
+            least = np.minimum(least, common_block.min())
+            least[there] = 255
+            some = last < n
+            least[there[some]] = _least(common_block, last[some], np.full(int(some.sum()), n - 1))
+            seen[there] = True
+
+        rank, count = _ranks(bwt, at[on], symbol, end, extend)
+        for _, out in piles.values():
+            out.close()
+        base = m + np.concatenate(([0], np.cumsum(count[:end])))
+        new = base[symbol] + rank
+        order = np.argsort(new)
+        into, with_ = (new[order] - np.arange(len(on))), columns[k, on][order]
+
+        def merged():
+            done = 0
+            for first, b in bwt.blocks():
+                to = int(np.searchsorted(into, first + len(b)))
+                yield np.insert(b, into[done:to] - first, with_[done:to])
+                done = to
+            yield with_[done:]
+
+        def joined():
+            yield np.zeros(m, dtype=np.uint8)
+            for c in sorted(piles):
+                for _, part in piles[c][0].blocks():
+                    yield part
+
+        old = [bwt, common, *(rows for rows, _ in piles.values())]
+        bwt = Rows(f"{folder}/bwt-{k}", columns.dtype).write(merged())
+        common = Rows(f"{folder}/common-{k}", np.uint8).write(joined())
+        for rows in old:
+            rows.drop()
+        at[on] = new
+
+    def twice():
+        before = None
+        for _, part in common.blocks():
+            high = part >= need
+            if before is not None:
+                before[-1] |= high[0]
+                yield before
+            before = high.copy()
+            before[:-1] |= high[1:]
+        yield before
+
+    flagged = Rows(f"{folder}/twice", np.bool_).write(twice())
+    at = np.arange(m)
+    flags = np.zeros((most + 1, m), dtype=bool)
+    for k in range(1, most + 1):
+        on = np.flatnonzero(lengths >= k)
+        symbol = columns[k - 1, on].astype(np.int64)
+        rank, count = _ranks(bwt, at[on], symbol, end)
+        at[on] = (m + np.concatenate(([0], np.cumsum(count[:end]))))[symbol] + rank
+        order = on[np.argsort(at[on])]
+        for first, part in flagged.blocks():
+            mine = order[slice(*np.searchsorted(at[order], [first, first + len(part)]))]
+            flags[k, mine] = part[at[mine] - first]
+    for rows in (bwt, common, flagged):
+        rows.drop()
+    return [flags[n : need - 1 : -1, i] for i, n in enumerate(lengths)]
+
+
 def _least(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """The least of x[lo..hi] for every pair, by minima over doubled widths."""
     out = np.empty(len(lo), dtype=x.dtype)
@@ -178,7 +338,7 @@ def _bits(keys: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
+def windows(docs: DataFrame, work: Work, need: int = NEED, external: int = EXTERNAL) -> DataFrame:
     """row, first and last: runs of starts of repeated windows."""
     from xxhash import xxh64_intdigest
 
@@ -232,6 +392,8 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
     sides = F.array_compact(F.array(side(0, F.lit(0), cut, F.col("place") - half), side(1, cut, starts, F.col("place") + GRAM)))
     halves = strings.select("key", "context", "n", F.inline(sides)) if need > GRAM + 1 else strings.select("key", "context", "n", F.col("key").alias("part"), F.lit(0).alias("from"), "place", "span")
 
+    files = work.folder("construction")
+
     def build(batches):
         import pyarrow as pa
 
@@ -244,7 +406,7 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
                 if len(parts[i]) == 1 and sum(n for *_, n in owners) > 1:
                     found += [(key, context, a, a + len(span) - need) for key, context, a, _ in owners]
             some = [x for x, i in zip(strings, many) if len(parts[i]) > 1]
-            flags = repeated([span for span, _ in some], [sum(n for *_, n in owners) for _, (_, owners) in some], need, [place for _, (place, _) in some]) if some else []
+            flags = repeated([span for span, _ in some], [sum(n for *_, n in owners) for _, (_, owners) in some], need, [place for _, (place, _) in some], f"{files}/{uuid.uuid4().hex}" if len(some) > external else None) if some else []
             for (_, (_, owners)), f in zip(some, flags):
                 for x, y in runs(f):
                     found += [(key, context, a + x, a + y) for key, context, a, _ in owners]
@@ -273,9 +435,9 @@ def windows(docs: DataFrame, work: Work, need: int = NEED) -> DataFrame:
     return out
 
 
-def dedup(docs: DataFrame, work: Work, need: int = NEED, text: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, work: Work, need: int = NEED, text: bool = False, external: int = EXTERNAL) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; ``text``: with what is left, as ``kept``."""
-    spans = windows(docs, work, need).distinct().groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans = windows(docs, work, need, external).distinct().groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     spans = work.write(spans, "spans").withColumnRenamed("row", "_row")
     joined = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("b"), row_key(docs).alias("row"))
     joined = joined.join(spans.hint("merge"), F.col("row") == F.col("_row"), "left").select("doc_id", "b", "spans")

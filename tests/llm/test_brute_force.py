@@ -248,6 +248,26 @@ def test_an_anchor_in_thousands_of_contexts(spark):
         assert got[d] == int(gone.sum())
 
 
+def test_construction_through_files(spark, monkeypatch, tmp_path):
+    rng = random.Random(9)
+    base = [bytes(rng.choice(b"ab ") for _ in range(150)) for _ in range(3)]
+    strings = [base[i % 3][rng.randint(0, 60) :][: rng.randint(30, 90)] for i in range(60)]
+    strings = list(dict.fromkeys(s for s in strings if len(s) >= 30))
+    strings += [s[:40] + b"#" + s[41:] for s in strings[:8] if len(s) > 45]
+    seen = Counter(s[i : i + 30] for s in strings for i in range(len(s) - 29))
+    for block in (7, 64, 1 << 20):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        got = suffix_dedup.repeated(strings, [1] * len(strings), 30, folder=str(tmp_path / f"b{block}"))
+        for s, flags in zip(strings, got):
+            assert flags.tolist() == [seen[s[i : i + 30]] > 1 for i in range(len(s) - 29)]
+        assert not list((tmp_path / f"b{block}").iterdir())
+    docs = spark.createDataFrame(corpus(), SCHEMA).repartition(3)
+    near = [(1000 + i, f"{prose(rng, 3)} {corpus()[13][1][:260]} {prose(rng, 3)}") for i in range(20)]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame(near, "doc_id long, text string"))
+    both = [Counter(map(tuple, suffix_dedup.dedup(docs, Work(spark, "x"), external=n).collect())) for n in (2, 1 << 17)]
+    assert both[0] == both[1]
+
+
 # --- 1
 
 
