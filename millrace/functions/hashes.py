@@ -1,127 +1,173 @@
 """Hash functions that Spark does not have: CityHash64 and XXH64 with any seed, as unsigned numbers.
 
-Both run as Arrow UDFs on whole batches. Results are decimal(20,0), as they exceed a signed bigint.
+Both run as Arrow UDFs on whole batches: CityHash64 by numpy over all texts of a batch, a class of lengths at a time.
+Results are decimal(20,0), as they exceed a signed bigint.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_M = (1 << 64) - 1
 # The constants of CityHash as published.
 K0, K1, K2, K3 = 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9AE16A3B2F90404F, 0xC949C7DEFEBC9BB7
 KMUL = 0x9DDFEA08EB382D69
+k0, k1, k2, k3, kmul = (np.uint64(k) for k in (K0, K1, K2, K3, KMUL))
 
 
-def _u64(s: bytes, i: int) -> int:
-    return int.from_bytes(s[i : i + 8], "little")
+def _u(n) -> np.uint64 | np.ndarray:
+    return n.astype(np.uint64) if isinstance(n, np.ndarray) else np.uint64(n)
 
 
-def _u32(s: bytes, i: int) -> int:
-    return int.from_bytes(s[i : i + 4], "little")
+def _rot(v: np.ndarray, n) -> np.ndarray:
+    n = _u(n)
+    return (v >> n) | (v << (np.uint64(64) - n))
 
 
-def _rot(v: int, n: int) -> int:
-    return v if n == 0 else ((v >> n) | (v << (64 - n))) & _M
+def _mix(v: np.ndarray) -> np.ndarray:
+    return v ^ (v >> np.uint64(47))
 
 
-def _pair(u: int, v: int) -> int:
-    a = ((u ^ v) * KMUL) & _M
-    a ^= a >> 47
-    b = ((v ^ a) * KMUL) & _M
-    b ^= b >> 47
-    return (b * KMUL) & _M
+def _pair(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return _mix((v ^ _mix((u ^ v) * kmul)) * kmul) * kmul
 
 
-def _mix(v: int) -> int:
-    return v ^ (v >> 47)
+class _Texts:
+    """Some texts of one buffer, and the numbers that lie at a place of each."""
 
+    def __init__(self, b: np.ndarray, at: np.ndarray, n: np.ndarray):
+        self.b, self.at, self.n = b, at, n
+        self.wide = np.ndarray(shape=(max(0, len(b) - 7),), dtype="<u8", buffer=b.data, strides=(1,))
 
-def _short(s: bytes) -> int:
-    n = len(s)
-    if n > 8:
-        a, b = _u64(s, 0), _u64(s, n - 8)
-        return _pair(a, _rot((b + n) & _M, n)) ^ b
-    if n >= 4:
-        return _pair((n + (_u32(s, 0) << 3)) & _M, _u32(s, n - 4))
-    if n:
-        y, z = s[0] + (s[n >> 1] << 8), n + (s[-1] << 2)
-        return (_mix(((y * K2) & _M) ^ ((z * K3) & _M)) * K2) & _M
-    return K2
+    def u64(self, i) -> np.ndarray:
+        return self.wide[self.at + i]
 
+    def u32(self, i) -> np.ndarray:
+        return self.u64(i) & np.uint64(0xFFFFFFFF)
 
-def _weak(s: bytes, i: int, a: int, b: int) -> tuple[int, int]:
-    w, x, y, z = (_u64(s, i + k) for k in (0, 8, 16, 24))
-    a = (a + w) & _M
-    b = _rot((b + a + z) & _M, 21)
+    def u8(self, i) -> np.ndarray:
+        return _u(self.b[self.at + i])
+
+    def some(self, which: np.ndarray) -> _Texts:
+        return _Texts(self.b, self.at[which], self.n[which])
+
+
+def _to_3(s: _Texts) -> np.ndarray:
+    y, z = s.u8(0) + (s.u8(s.n >> 1) << np.uint64(8)), _u(s.n) + (s.u8(s.n - 1) << np.uint64(2))
+    return _mix((y * k2) ^ (z * k3)) * k2
+
+
+def _to_8(s: _Texts) -> np.ndarray:
+    return _pair(_u(s.n) + (s.u32(0) << np.uint64(3)), s.u32(s.n - 4))
+
+
+def _to_16(s: _Texts) -> np.ndarray:
+    b = s.u64(s.n - 8)
+    return _pair(s.u64(0), _rot(b + _u(s.n), s.n)) ^ b
+
+
+def _to_32(s: _Texts) -> np.ndarray:
+    a, b = s.u64(0) * k1, s.u64(8)
+    c, d = s.u64(s.n - 8) * k2, s.u64(s.n - 16) * k0
+    return _pair(_rot(a - b, 43) + _rot(c, 30) + d, a + _rot(b ^ k3, 20) - c + _u(s.n))
+
+
+def _to_64(s: _Texts) -> np.ndarray:
+    def half(z, a, first, second):
+        b, c = _rot(a + z, 52), _rot(a, 37)
+        a = a + s.u64(first)
+        c = c + _rot(a, 7)
+        a = a + s.u64(second)
+        return a + z, b + _rot(a, 31) + c
+
+    vf, vs = half(s.u64(24), s.u64(0) + (_u(s.n) + s.u64(s.n - 16)) * k0, 8, 16)
+    wf, ws = half(s.u64(s.n - 8), s.u64(16) + s.u64(s.n - 32), s.n - 24, s.n - 16)
+    return _mix(_mix((vf + ws) * k2 + (wf + vs) * k0) * k0 + vs) * k2
+
+
+def _weak(s: _Texts, i, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    w, x, y, z = (s.u64(i + k) for k in (0, 8, 16, 24))
+    a = a + w
+    b = _rot(b + a + z, 21)
     c = a
-    a = (a + x + y) & _M
-    b = (b + _rot(a, 44)) & _M
-    return (a + z) & _M, (b + c) & _M
+    a = a + x + y
+    return a + z, b + _rot(a, 44) + c
+
+
+def _longer(s: _Texts) -> np.ndarray:
+    x, y, z = s.u64(0), s.u64(s.n - 16) ^ k1, s.u64(s.n - 56) ^ k0
+    v = _weak(s, s.n - 64, _u(s.n), y)
+    w = _weak(s, s.n - 32, _u(s.n) * k1, np.full(len(s.n), k0))
+    z = z + _mix(v[1]) * k1
+    x, y = _rot(z + x, 39) * k1, _rot(y, 33) * k1
+    state = np.stack([x, y, z, *v, *w])
+    ends, i = (s.n - 1) & ~63, 0
+    live = np.flatnonzero(ends > i)
+    while len(live):  # a block of 64 bytes of all texts that have one more
+        t = s.some(live)
+        x, y, z, v0, v1, w0, w1 = state[:, live]
+        x = _rot(x + y + v0 + t.u64(i + 16), 37) * k1
+        y = _rot(y + v1 + t.u64(i + 48), 42) * k1
+        x, y = x ^ w1, y ^ v0
+        z = _rot(z ^ w0, 33)
+        v = _weak(t, i, v1 * k1, x + w0)
+        w = _weak(t, i + 32, z + w1, y)
+        state[:, live] = np.stack([z, y, x, *v, *w])
+        i += 64
+        live = live[ends[live] > i]
+    x, y, z, v0, v1, w0, w1 = state
+    return _pair(_pair(v0, w0) + _mix(y) * k1 + z, _pair(v1, w1) + x)
+
+
+_CLASSES = ((3, _to_3), (8, _to_8), (16, _to_16), (32, _to_32), (64, _to_64), (None, _longer))
+
+
+def city64_many(b: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """CityHash64 of texts in a buffer, which goes on for eight bytes after the last of them; in the published version 1.0.2, which SQL servers keep for stability."""
+    out, least = np.full(len(at), k2, dtype=np.uint64), 0
+    for most, f in _CLASSES:
+        mine = np.flatnonzero((n > least) if most is None else (n > least) & (n <= most))
+        if len(mine):
+            out[mine] = f(_Texts(b, at[mine], n[mine]))
+        least = most
+    return out
 
 
 def city64(s: bytes) -> int:
-    """CityHash64 in the published version 1.0.2, which SQL servers keep for stability."""
-    n = len(s)
-    if n <= 16:
-        return _short(s)
-    if n <= 32:
-        a, b = (_u64(s, 0) * K1) & _M, _u64(s, 8)
-        c, d = (_u64(s, n - 8) * K2) & _M, (_u64(s, n - 16) * K0) & _M
-        return _pair((_rot((a - b) & _M, 43) + _rot(c, 30) + d) & _M, (a + _rot(b ^ K3, 20) - c + n) & _M)
-    if n <= 64:
-
-        def half(z, a, first, second):
-            b, c = _rot((a + z) & _M, 52), _rot(a, 37)
-            a = (a + _u64(s, first)) & _M
-            c = (c + _rot(a, 7)) & _M
-            a = (a + _u64(s, second)) & _M
-            return (a + z) & _M, (b + _rot(a, 31) + c) & _M
-
-        vf, vs = half(_u64(s, 24), (_u64(s, 0) + (n + _u64(s, n - 16)) * K0) & _M, 8, 16)
-        wf, ws = half(_u64(s, n - 8), (_u64(s, 16) + _u64(s, n - 32)) & _M, n - 24, n - 16)
-        r = _mix(((vf + ws) * K2 + (wf + vs) * K0) & _M)
-        return (_mix((r * K0 + vs) & _M) * K2) & _M
-    x, y, z = _u64(s, 0), _u64(s, n - 16) ^ K1, _u64(s, n - 56) ^ K0
-    v = _weak(s, n - 64, n, y)
-    w = _weak(s, n - 32, (n * K1) & _M, K0)
-    z = (z + _mix(v[1]) * K1) & _M
-    x = (_rot((z + x) & _M, 39) * K1) & _M
-    y = (_rot(y, 33) * K1) & _M
-    for i in range(0, (n - 1) & ~63, 64):
-        x = (_rot((x + y + v[0] + _u64(s, i + 16)) & _M, 37) * K1) & _M
-        y = (_rot((y + v[1] + _u64(s, i + 48)) & _M, 42) * K1) & _M
-        x ^= w[1]
-        y ^= v[0]
-        z = _rot(z ^ w[0], 33)
-        v = _weak(s, i, (v[1] * K1) & _M, (x + w[0]) & _M)
-        w = _weak(s, i + 32, (z + w[1]) & _M, y)
-        z, x = x, z
-    return _pair((_pair(v[0], w[0]) + _mix(y) * K1 + z) & _M, (_pair(v[1], w[1]) + x) & _M)
+    return int(city64_many(np.frombuffer(s + b"\0" * 8, dtype=np.uint8), np.zeros(1, dtype=np.int64), np.array([len(s)]))[0])
+
+
+def _xx64(seed: int):
+    def many(b: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        from xxhash import xxh64_intdigest
+
+        raw = memoryview(b)
+        return np.fromiter((xxh64_intdigest(raw[a : a + k], seed) for a, k in zip(at.tolist(), n.tolist())), dtype=np.uint64, count=len(at))
+
+    return many
 
 
 def _arrow(f):
     @F.arrow_udf("decimal(20,0)")
     def run(values):
-        import decimal
-
         import pyarrow as pa
 
-        found: dict = {}
-        out = []
-        for v in values.to_pylist():
-            if v is not None and v not in found:
-                found[v] = decimal.Decimal(f(v.encode()))
-            out.append(found.get(v))
-        return pa.array(out, pa.decimal128(20, 0))
+        texts = values.cast(pa.large_binary())
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        b = np.append(np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]], np.zeros(8, np.uint8))
+        valid = values.is_valid().to_numpy(zero_copy_only=False)
+        found = np.zeros((len(texts), 2), dtype=np.uint64)
+        found[valid, 0] = f(b, (offsets[:-1] - offsets[0])[valid], np.diff(offsets)[valid])
+        mask = pa.py_buffer(np.packbits(valid, bitorder="little").tobytes())
+        return pa.Array.from_buffers(pa.decimal128(20, 0), len(texts), [mask, pa.py_buffer(found.tobytes())])
 
     return run
 
 
 def city_hash_64(x) -> Column:
     """CityHash64 of the value's text; null for null."""
-    return _arrow(city64)((F.col(x) if isinstance(x, str) else x).cast("string"))
+    return _arrow(city64_many)((F.col(x) if isinstance(x, str) else x).cast("string"))
 
 
 def xx_hash_64(x, seed: int = 0) -> Column:
@@ -131,9 +177,4 @@ def xx_hash_64(x, seed: int = 0) -> Column:
         h = F.xxhash64(text).cast("decimal(20,0)")
         return F.when(text.isNotNull(), F.when(h < 0, h + F.lit(str(1 << 64)).cast("decimal(20,0)")).otherwise(h).cast("decimal(20,0)"))
 
-    def one(s: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        return xxh64_intdigest(s, seed)
-
-    return _arrow(one)(text)
+    return _arrow(_xx64(seed))(text)
