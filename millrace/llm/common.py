@@ -87,9 +87,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+#: The Arrow and SQL types of a row key.
+KEY = "struct<a:bigint,b:bigint>"
+
+
 def row_key(df: DataFrame, text: str = "text") -> Column:
-    """Tells rows apart that have one doc_id and different texts; equal rows count as one."""
-    return F.xxhash64(F.col("doc_id"), F.col(text))
+    """Tells rows apart that have one doc_id and different texts, by 128 bits; equal rows count as one."""
+    first = F.xxhash64(F.col("doc_id"), F.col(text))
+    # chained the other way and from another start, so that texts that collide in one half do not in the other
+    return F.struct(first.alias("a"), F.xxhash64(F.lit("row"), F.col(text), F.col("doc_id")).alias("b"))
+
+
+def held(key: str, most: int) -> Column:
+    """A remainder of a row key, for sets of bounded size."""
+    return F.pmod(F.col(f"{key}.a"), F.lit(most))
 
 
 def boxed(docs: DataFrame, *needed: str) -> DataFrame:

@@ -26,7 +26,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, boxed, let, row_key, table, unboxed
+from .common import Work, boxed, held, let, row_key, table, unboxed
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -100,12 +100,12 @@ def pairs(docs: DataFrame, items: DataFrame, work: Work, threshold: float = THRE
     rows, sample, short = sketch(items, work)
     keyed = docs.select("doc_id", row_key(docs).alias("row"), "text")
     distinct = F.array_distinct(shingles(F.col("text"), short))
-    held = keyed.select("row", F.explode(distinct).alias("h"))
-    some = held.join(_held(sample, "h"), F.pmod("h", F.lit(HELD)) == F.col("_held"), "left_semi")
+    all_of = keyed.select("row", F.explode(distinct).alias("h"))
+    some = all_of.join(_held(sample, "h"), F.pmod("h", F.lit(HELD)) == F.col("_held"), "left_semi")
     hits = some.distinct().join(sample.hint("merge"), "h").groupBy("row", "item").agg(F.count(F.lit(1)).alias("hits"), F.first("least").alias("least"))
     found = work.write(hits.filter("hits >= least").select(F.col("row").alias("_row"), F.col("item").alias("_item")), "candidates")
     # verification, on the whole shingle sets of candidates
-    texts = keyed.join(_held(found, "_row"), F.pmod("row", F.lit(HELD)) == F.col("_held"), "left_semi")
+    texts = keyed.join(_held(found, "_row.a"), held("row", HELD) == F.col("_held"), "left_semi")
     again = texts.select("doc_id", "row", F.explode(distinct).alias("h")).join(found.hint("merge"), F.col("row") == F.col("_row"))
     again = again.join(rows.hint("merge"), (rows["h"] == again["h"]) & (rows["item"] == again["_item"])).select("doc_id", "row", "item", "n", "n_items", rows["h"]).distinct()
     again = again.groupBy("doc_id", "row", "item").agg(F.count(F.lit(1)).alias("n_shared"), F.first("n").alias("n_shingles"), F.first("n_items").alias("n_items"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Work, boxed, let, row_key, table, unboxed
+from .common import Work, boxed, held, let, row_key, table, unboxed
 
 SPAN = 2
 RATE = 3
@@ -88,8 +88,8 @@ def grown(docs: DataFrame, found: DataFrame, work: Work) -> DataFrame:
     asked = asked.groupBy("row").agg(F.collect_list(F.struct("k", "side", "want")).alias("asked"))
     asked = work.write(asked, "asked")
     # a table of bounded size keeps the texts that nobody asks for from the shuffle
-    held = asked.select(F.pmod("row", F.lit(HELD)).alias("_held")).distinct()
-    texts = docs.select(row_key(docs).alias("_row"), "text").join(F.broadcast(held), F.pmod("_row", F.lit(HELD)) == F.col("_held"), "left_semi")
+    some = asked.select(held("row", HELD).alias("_held")).distinct()
+    texts = docs.select(row_key(docs).alias("_row"), "text").join(F.broadcast(some), held("_row", HELD) == F.col("_held"), "left_semi")
     texts = texts.join(asked.hint("merge"), F.col("_row") == F.col("row")).select("_row", "text", "asked")
 
     def beside(c):

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Work, boxed, by_size, row_key, table, unboxed
+from .common import KEY, Work, boxed, by_size, row_key, table, unboxed
 from .components import connected
 
 RADIUS = 5
@@ -186,7 +186,7 @@ def _counted(least: int):
         import pyarrow as pa
 
         for batch in by_size(batches, 1):
-            p, row = Paragraphs(batch.column(1), least), batch.column(0).to_numpy()
+            p, row = Paragraphs(batch.column(1), least), batch.column(0).field(0).to_numpy()
             keys = [p.run_names[:, 0], p.line_names[:, 0], p.bands.ravel()]
             seen = [_place(row[p.run_text], p.runs - p.first[p.run_text]), _place(row[p.line_text], p.lines - p.first[p.line_text]), np.repeat(p.line_names[:, 1], BANDS)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (keys, seen)], names=["key", "seen"])
@@ -377,12 +377,12 @@ def found(docs: DataFrame, work: Work, least: int = LEAST_WORDS) -> tuple[DataFr
     bits = min(25, max(16, int(8 * again.count()).bit_length()))  # 4 MB at most
     held = docs.sparkSession.sparkContext.broadcast(_bits(again, bits))
     work.drop(again)
-    schema = "row long, doc_id long, k int, first_word long, n_words long, unit binary, bands array<long>, shingles array<long>"
+    schema = f"row {KEY}, doc_id long, k int, first_word long, n_words long, unit binary, bands array<long>, shingles array<long>"
 
     def pick(batches):
         import pyarrow as pa
 
-        names = [x.split()[0] for x in schema.split(", ")]
+        names = ["row", "doc_id", "k", "first_word", "n_words", "unit", "bands", "shingles"]
         on = lambda k: (held.value[(k.view(np.int64) & ((1 << bits) - 1)) >> 6] >> (k.view(np.int64) & 63)) & 1 == 1
         longs = pa.list_(pa.int64())
         for batch in by_size(batches, 2):
@@ -440,7 +440,7 @@ def marks(docs: DataFrame, work: Work, least: int = LEAST_WORDS) -> DataFrame:
     edges = work.write(edges.select("row", "k", "to", "to_k", sides).distinct(), "edges")
     asked = edges.select("row", "k", "side").union(edges.select("to", "to_k", "side").distinct()).groupBy("row").agg(F.collect_set(F.struct("k", "side")).alias("asked"))
     texts = docs.select(row_key(docs).alias("_row"), "text").join(asked.hint("merge"), F.col("_row") == F.col("row")).select("row", "text", "asked")
-    near = work.write(texts.mapInArrow(_beside, "_row long, _k int, _side int, words binary"), "beside").dropDuplicates(["_row", "_k", "_side"])
+    near = work.write(texts.mapInArrow(_beside, f"_row {KEY}, _k int, _side int, words binary"), "beside").dropDuplicates(["_row", "_k", "_side"])
     mine = edges.join(near.hint("merge"), (F.col("row") == F.col("_row")) & (F.col("k") == F.col("_k")) & (F.col("side") == F.col("_side"))).select("row", "k", "side", "to", "to_k", F.col("words").alias("mine"))
     grow = F.udf(shared_words, "int", useArrow=True)
     met = mine.join(near.hint("merge"), (F.col("to") == F.col("_row")) & (F.col("to_k") == F.col("_k")) & (F.col("side") == F.col("_side")))
@@ -452,7 +452,7 @@ def marks(docs: DataFrame, work: Work, least: int = LEAST_WORDS) -> DataFrame:
     big = lambda name: F.lit(0).cast("long").alias(name)
     of_side = grown.select("row", F.struct("k", big("first_word"), big("n_words"), F.lit(False).alias("stays"), big("doc"), "side", "ext").alias("x"))
     items = of_run.union(of_line).union(of_side).groupBy("row").agg(F.collect_list("x").alias("x"))
-    schema = "_row long, n_repeated long, n_removed long, n_paragraphs_removed long, first_doc_ids array<long>, gone array<struct<first_word long, n_words long>>"
+    schema = f"_row {KEY}, n_repeated long, n_removed long, n_paragraphs_removed long, first_doc_ids array<long>, gone array<struct<first_word long, n_words long>>"
     out = work.write(items.mapInArrow(_passages(least), schema), "marks")
     work.drop(rows, edges, met)
     return out

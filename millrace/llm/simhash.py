@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, boxed, row_key, table, unboxed
+from .common import KEY, Work, boxed, row_key, table, unboxed
 from .components import connected
 
 SHINGLE = 3
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             f = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(f)], names=["doc_id", "key", "f"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text", row_key(docs)).mapInArrow(make, "doc_id long, key long, f long")
+    return docs.select(F.col("doc_id").cast("long"), "text", row_key(docs).alias("key")).mapInArrow(make, f"doc_id long, key {KEY}, f long")
 
 
 def top_pairs(counts: dict[int, int], bits: int, leaf: int, budget: int) -> list[tuple[int, int, int, int]]:

@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, file_system, row_key, table
+from .common import KEY, Work, file_system, row_key, table
 
 NEED = 200
 GRAM = 128
@@ -369,7 +369,7 @@ def windows(docs: DataFrame, work: Work, need: int = NEED, external: int = EXTER
         any_of, several = maps.value
         held = lambda m, k: (m[(k & ((1 << bits) - 1)) >> 6] >> (k & 63)) & 1 == 1
         for batch in batches:
-            for row, b in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for row, b in enumerate(batch.column(1)):
                 b = b.as_py()
                 at, h, first, last = anchors(np.frombuffer(b, dtype=np.uint8), need)
                 key = h.view(np.int64)
@@ -378,9 +378,9 @@ def windows(docs: DataFrame, work: Work, need: int = NEED, external: int = EXTER
                 spans = [b[x : y + need] for x, y in zip(first.tolist(), last.tolist())]
                 context = [xxh64_intdigest(s, a - x) for s, a, x in zip(spans, at.tolist(), first.tolist())]
                 spans = [s if k else None for s, k in zip(spans, held(several, key).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(signed(context)), pa.array(np.full(len(at), row)), pa.array(first), pa.array(last), pa.array((at - first).astype(np.int32)), pa.array(spans, pa.binary())], names=["key", "context", "row", "first", "last", "place", "span"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(signed(context)), batch.column(0).take(pa.array(np.full(len(at), row))), pa.array(first), pa.array(last), pa.array((at - first).astype(np.int32)), pa.array(spans, pa.binary())], names=["key", "context", "row", "first", "last", "place", "span"])
 
-    rows = text.mapInArrow(places, "key long, context long, row long, first long, last long, place int, span binary").join(twice.hint("merge"), "key")
+    rows = text.mapInArrow(places, f"key long, context long, row {KEY}, first long, last long, place int, span binary").join(twice.hint("merge"), "key")
     rows = work.write(rows, "places")
     whole = rows.filter("not several").select("row", "first", "last")
     strings = rows.filter("several").groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"), F.first("place").alias("place"))
