@@ -218,10 +218,12 @@ class Query:
             df = df if self.having_ is None else df.filter(total | self.having_)
             return _pick(df.orderBy(total, *map(ordered, self.order)) if self.order else df, places)
         body = df.filter(~total)
-        body = self._sliced(self._cut(body if self.having_ is None else body.filter(self.having_), places=places))
-        both = body.union(_pick(df.filter(total), places))
-        order = [c for c in map(ordered, self.order)] if all(isinstance(c, str) and c in both.columns for c in self.order) else []
-        return both.orderBy(modifiers.TOTAL, *order) if self.order else both
+        body = body if self.having_ is None else body.filter(self.having_)
+        if self.is_distinct:  # of the selected columns, so these alone can be sorted by
+            both = self._sliced(self._cut(body, places=places)).union(_pick(df.filter(total), places))
+            return both.orderBy(modifiers.TOTAL, *map(ordered, self.order)) if self.order else both
+        both = self._sliced(self._cut(body)).union(df.filter(total))
+        return _pick(both.orderBy(modifiers.TOTAL, *map(ordered, self.order)) if self.order else both, places)
 
     def _projected(self, df: DataFrame) -> DataFrame:
         # DISTINCT ON, LIMIT BY and ORDER BY may use columns that are not selected

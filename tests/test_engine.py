@@ -199,6 +199,8 @@ def test_totals_stand_beside_limit_and_offset(spark):
     assert [tuple(r) for r in q.limit(1).load(spark)] == [(3, "a", False), (9, None, True)]
     assert [tuple(r) for r in q.offset(2).load(spark)] == [(5, None, False), (9, None, True)]
     assert [tuple(r) for r in q.having(F.col("s") > 100).load(spark)] == [(9, None, True)]
+    assert [tuple(r) for r in q.order_by(desc("s")).limit(2).load(spark)] == [(5, None, False), (3, "a", False), (9, None, True)]
+    assert [tuple(r) for r in q.select(F.sum("v").alias("s")).order_by("k").limit(2).load(spark)] == [(3, False), (1, False), (9, True)]
 
 
 def test_settings_hold_on_every_way_to_a_result(spark):
