@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 #: White space that separates words, as a Java regular expression.
 SPACE = "[\\x20\\x09-\\x0D]+"
 
+#: Bytes of an Arrow batch at most, but for single rows of more.
+BATCH = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,6 +44,35 @@ def _delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of ``BATCH`` bytes at most in what runs meanwhile, as each is held by the JVM and by a Python worker."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
+
+
+def lean(f):
+    """A function of Arrow batches whose worker gives free memory back to the system at its end."""
+
+    def run(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other systems have other ways
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 class Work:
     """A folder of one run of an operator under the shared folder.
 
@@ -66,7 +100,8 @@ class Work:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Writes a table and gives it back, read from there."""
         path = self.folder(name)
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._millrace_path = path
         return out

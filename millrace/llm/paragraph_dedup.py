@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, Work, boxed, by_size, row_key, table, unboxed
+from .common import KEY, Work, boxed, by_size, lean, row_key, table, unboxed
 from .components import connected
 
 RADIUS = 5
@@ -372,7 +372,7 @@ def found(docs: DataFrame, work: Work, least: int = LEAST_WORDS) -> tuple[DataFr
     from .suffix_dedup import _bits
 
     keyed = docs.select(row_key(docs).alias("row"), F.col("doc_id").cast("long"), "text")
-    again = keyed.select("row", "text").mapInArrow(_counted(least), "key long, seen long").groupBy("key").agg(F.min("seen").alias("a"), F.max("seen").alias("z"))
+    again = keyed.select("row", "text").mapInArrow(lean(_counted(least)), "key long, seen long").groupBy("key").agg(F.min("seen").alias("a"), F.max("seen").alias("z"))
     again = work.write(again.filter("a <> z").select("key"), "again")
     bits = min(25, max(16, int(8 * again.count()).bit_length()))  # 4 MB at most
     held = docs.sparkSession.sparkContext.broadcast(_bits(again, bits))
@@ -398,7 +398,7 @@ def found(docs: DataFrame, work: Work, least: int = LEAST_WORDS) -> tuple[DataFr
             sets = [np.unique(p.shingles[z - n : z].view(np.int64)) if y else None for z, n, y in zip(p.shingle_ends[i].tolist(), p.shingle_counts[i].tolist(), near.any(axis=1).tolist())]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.nulls(len(i), pa.int32()), pa.array(p.lines[i] - p.first[at]), pa.array(p.line_sizes[i]), _binary(p.line_names[i]), pa.array(bands, longs), pa.array(sets, longs)], names=names)
 
-    units = work.write(keyed.mapInArrow(pick, schema), "units")
+    units = work.write(keyed.mapInArrow(lean(pick), schema), "units")
     return units.filter("k is not null").drop("bands", "shingles"), units.filter("k is null").drop("k")
 
 
@@ -411,7 +411,7 @@ def classes(lines: DataFrame, work: Work) -> DataFrame:
     several = slim.groupBy("key").agg(F.min("unit").alias("a"), F.max("unit").alias("z")).filter("a <> z").select("key")
     members = work.write(slim.join(several.hint("merge"), "key"), "members")
     by_band = members.join(distinct.select("unit", "shingles").hint("merge"), "unit").select("key", "unit", "shingles").repartition("key").sortWithinPartitions("key", "unit")
-    links = work.write(by_band.mapInArrow(_links, "u binary, v binary"), "pairs")
+    links = work.write(by_band.mapInArrow(lean(_links), "u binary, v binary"), "pairs")
     component = connected(links, work)
     named = distinct.select("unit", "first", "last").join(component, F.col("unit") == F.col("node"), "left").select("unit", "first", "last", F.coalesce("component", "unit").alias("component"))
     named = work.write(named, "named")
@@ -440,7 +440,7 @@ def marks(docs: DataFrame, work: Work, least: int = LEAST_WORDS) -> DataFrame:
     edges = work.write(edges.select("row", "k", "to", "to_k", sides).distinct(), "edges")
     asked = edges.select("row", "k", "side").union(edges.select("to", "to_k", "side").distinct()).groupBy("row").agg(F.collect_set(F.struct("k", "side")).alias("asked"))
     texts = docs.select(row_key(docs).alias("_row"), "text").join(asked.hint("merge"), F.col("_row") == F.col("row")).select("row", "text", "asked")
-    near = work.write(texts.mapInArrow(_beside, f"_row {KEY}, _k int, _side int, words binary"), "beside").dropDuplicates(["_row", "_k", "_side"])
+    near = work.write(texts.mapInArrow(lean(_beside), f"_row {KEY}, _k int, _side int, words binary"), "beside").dropDuplicates(["_row", "_k", "_side"])
     mine = edges.join(near.hint("merge"), (F.col("row") == F.col("_row")) & (F.col("k") == F.col("_k")) & (F.col("side") == F.col("_side"))).select("row", "k", "side", "to", "to_k", F.col("words").alias("mine"))
     grow = F.udf(shared_words, "int", useArrow=True)
     met = mine.join(near.hint("merge"), (F.col("to") == F.col("_row")) & (F.col("to_k") == F.col("_k")) & (F.col("side") == F.col("_side")))
@@ -453,7 +453,7 @@ def marks(docs: DataFrame, work: Work, least: int = LEAST_WORDS) -> DataFrame:
     of_side = grown.select("row", F.struct("k", big("first_word"), big("n_words"), F.lit(False).alias("stays"), big("doc"), "side", "ext").alias("x"))
     items = of_run.union(of_line).union(of_side).groupBy("row").agg(F.collect_list("x").alias("x"))
     schema = f"_row {KEY}, n_repeated long, n_removed long, n_paragraphs_removed long, first_doc_ids array<long>, gone array<struct<first_word long, n_words long>>"
-    out = work.write(items.mapInArrow(_passages(least), schema), "marks")
+    out = work.write(items.mapInArrow(lean(_passages(least)), schema), "marks")
     work.drop(rows, edges, met)
     return out
 
