@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, Work, file_system, row_key, table
+from .common import KEY, Work, by_size, file_system, lean, row_key, table
 
 NEED = 200
 GRAM = 128
@@ -350,14 +350,15 @@ def windows(docs: DataFrame, work: Work, need: int = NEED, external: int = EXTER
     def keys(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            for b in batch.column(0):
-                b = b.as_py()
+        for batch in by_size(batches, 0):
+            found, context = [], []
+            for b in batch.column(0).to_pylist():
                 at, h, first, last = anchors(np.frombuffer(b, dtype=np.uint8), need)
-                context = [xxh64_intdigest(b[x : y + need], a - x) for a, x, y in zip(at.tolist(), first.tolist(), last.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(signed(context))], names=["key", "context"])
+                found.append(h)
+                context += [xxh64_intdigest(b[x : y + need], a - x) for a, x, y in zip(at.tolist(), first.tolist(), last.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found))), pa.array(signed(context))], names=["key", "context"])
 
-    found = text.select("b").mapInArrow(keys, "key long, context long").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("a"), F.max("context").alias("z"))
+    found = text.select("b").mapInArrow(lean(keys), "key long, context long").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("a"), F.max("context").alias("z"))
     twice = work.write(found.filter("n > 1").select("key", (F.col("a") != F.col("z")).alias("several")), "anchors")
     bits = min(24, max(16, int(8 * twice.count()).bit_length()))  # 2 MB at most
     spark = docs.sparkSession
@@ -368,19 +369,22 @@ def windows(docs: DataFrame, work: Work, need: int = NEED, external: int = EXTER
 
         any_of, several = maps.value
         held = lambda m, k: (m[(k & ((1 << bits) - 1)) >> 6] >> (k & 63)) & 1 == 1
-        for batch in batches:
-            for row, b in enumerate(batch.column(1)):
-                b = b.as_py()
+        for batch in by_size(batches, 1):
+            found, spans, context = [], [], []
+            for row, b in enumerate(batch.column(1).to_pylist()):
                 at, h, first, last = anchors(np.frombuffer(b, dtype=np.uint8), need)
                 key = h.view(np.int64)
-                on = held(any_of, key)
+                on = np.flatnonzero(held(any_of, key))
                 at, key, first, last = at[on], key[on], first[on], last[on]
-                spans = [b[x : y + need] for x, y in zip(first.tolist(), last.tolist())]
-                context = [xxh64_intdigest(s, a - x) for s, a, x in zip(spans, at.tolist(), first.tolist())]
-                spans = [s if k else None for s, k in zip(spans, held(several, key).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(signed(context)), batch.column(0).take(pa.array(np.full(len(at), row))), pa.array(first), pa.array(last), pa.array((at - first).astype(np.int32)), pa.array(spans, pa.binary())], names=["key", "context", "row", "first", "last", "place", "span"])
-
-    rows = text.mapInArrow(places, f"key long, context long, row {KEY}, first long, last long, place int, span binary").join(twice.hint("merge"), "key")
+                mine = [b[x : y + need] for x, y in zip(first.tolist(), last.tolist())]
+                context += [xxh64_intdigest(s, a - x) for s, a, x in zip(mine, at.tolist(), first.tolist())]
+                spans += [s if k else None for s, k in zip(mine, held(several, key).tolist())]
+                found.append(np.stack((key, np.full(len(at), row), first, last, at - first)))
+            key, row, first, last, place = np.concatenate(found, axis=1)
+            columns = [pa.array(key), pa.array(signed(context)), batch.column(0).take(pa.array(row)), pa.array(first), pa.array(last), pa.array(place, pa.int32()), pa.array(spans, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "context", "row", "first", "last", "place", "span"])
+
+    rows = text.mapInArrow(lean(places), f"key long, context long, row {KEY}, first long, last long, place int, span binary").join(twice.hint("merge"), "key")
     rows = work.write(rows, "places")
     whole = rows.filter("not several").select("row", "first", "last")
     strings = rows.filter("several").groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.first("span").alias("span"), F.first("place").alias("place"))
@@ -428,7 +432,7 @@ def windows(docs: DataFrame, work: Work, need: int = NEED, external: int = EXTER
             yield out(parts)
 
     ordered = halves.repartition("part").sortWithinPartitions("part")
-    found = work.write(ordered.select("key", "context", "n", "part", "from", "place", "span").mapInArrow(build, "key long, context long, a long, z long"), "runs")
+    found = work.write(ordered.select("key", "context", "n", "part", "from", "place", "span").mapInArrow(lean(build), "key long, context long, a long, z long"), "runs")
     parts = rows.filter("several").select("key", "context", "row", "first").join(found, ["key", "context"]).select("row", (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("z")).alias("last"))
     out = work.write(whole.union(parts), "windows")
     work.drop(twice, rows, found)
