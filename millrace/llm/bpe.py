@@ -24,8 +24,8 @@ KEPT = 1_250_000
 SHORT = 24
 SHIFTS = (40, 12)
 
-#: Bytes of texts that are encoded at a time, at least where one text has no more.
-SPAN = 2_000_000
+#: Bytes of texts that are encoded at a time, at least where one text has no more. Each takes some 50 bytes of memory meanwhile.
+SPAN = 500_000
 
 #: Units of more bytes are not kept.
 LONG = 64
@@ -85,8 +85,8 @@ class Encoder:
         self._begin()
 
     def _begin(self) -> None:
-        #: Of a unit: its first 24 bytes, its length with the number of its ids, and their place in the pool.
-        self.rows = np.zeros((self.slots, 5), dtype=np.uint64)
+        #: Of a unit: its first 24 bytes; the place of its ids in the pool (40 bits), its length (8) and the number of its ids (16).
+        self.rows = np.zeros((self.slots, 4), dtype=np.uint64)
         self.pool, self.used, self.n = np.zeros(1 << 16, dtype=self.kind), 0, 0
         self.more: dict[bytes, tuple[int, int]] = {}  # longer units: number and place of ids
 
@@ -181,11 +181,11 @@ class Encoder:
         left = np.arange(len(some))
         for shift in SHIFTS:
             row = self.rows[((h[left] >> np.uint64(shift)) & np.uint64(self.slots - 1)).astype(np.int64)]
-            hit = row[:, 3] >> np.uint64(32) == keys[3][left]
+            hit = row[:, 3] >> np.uint64(16) & np.uint64(0xFF) == keys[3][left]
             for i in range(3):
                 hit &= row[:, i] == keys[i][left]
             to = some[left[hit]]
-            number[to], place[to] = row[hit, 3] & np.uint64(0xFFFFFFFF), row[hit, 4]
+            number[to], place[to] = row[hit, 3] & np.uint64(0xFFFF), row[hit, 3] >> np.uint64(24)
             left = left[~hit]
         if len(left):
             _, first, of = np.unique(h[left], return_index=True, return_inverse=True)
@@ -244,7 +244,8 @@ class Encoder:
             free = self.rows[slot, 3] == 0
             slot, i = slot[free], i[free]
             mine = left[i]
-            self.rows[slot] = np.stack([*(k[mine] for k in keys[:3]), (keys[3][mine] << np.uint64(32)) | number[mine].astype(np.uint64), place[mine].astype(np.uint64)], axis=1)
+            told = place[mine].astype(np.uint64) << np.uint64(24) | keys[3][mine] << np.uint64(16) | number[mine].astype(np.uint64)
+            self.rows[slot] = np.stack([*(k[mine] for k in keys[:3]), told], axis=1)
             self.n += len(mine)
             left = np.delete(left, i)
 

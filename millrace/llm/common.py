@@ -55,20 +55,25 @@ def small_batches(spark: SparkSession):
         spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
 
 
+def give_back() -> None:
+    """Gives a worker's free memory back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems have other ways
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def lean(f):
     """A function of Arrow batches whose worker gives free memory back to the system at its end."""
 
     def run(batches):
-        import ctypes
-
-        import pyarrow as pa
-
         try:
             yield from f(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # other systems have other ways
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
 
     return run
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import Work, table
+from .common import Work, give_back, table
 
 #: Buckets of a length's pieces at least; the session's shuffle partitions where there are more.
 BUCKETS = 256
@@ -70,25 +70,28 @@ def _two(have: np.ndarray, least: int, most: int) -> list[int] | None:
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece."""
 
-    def cut(batches):
+    def one(batch):
         import pyarrow as pa
 
-        encoder = bpe.encoder(tokenizer)
+        ids, bounds = bpe.encoder(tokenizer).column(batch.column(1))
+        lengths = np.diff(bounds) + 1
+        # the ids of all documents, each with its end id, as unsigned 32-bit integers
+        data = np.insert(ids.astype("<u4"), bounds[1:], np.uint32(end_id)).tobytes()
+        first = np.where(lengths <= capacity, lengths, np.where(lengths % capacity, lengths % capacity, capacity))
+        n = 1 + (lengths - first) // capacity
+        of = np.repeat(np.arange(len(lengths)), n)
+        piece = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        start = np.where(piece > 0, first[of] + (piece - 1) * capacity, 0)
+        length = np.where(piece > 0, capacity, first[of])
+        at = 4 * ((bounds[:-1] + np.arange(len(lengths)))[of] + start)
+        crc = [zlib.crc32(data[a:z]) for a, z in zip(at.tolist(), (at + 4 * length).tolist())]
+        columns = [batch.column(0).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    def cut(batches):
         for batch in batches:
-            ids, bounds = encoder.column(batch.column(1))
-            lengths = np.diff(bounds) + 1
-            # the ids of all documents, each with its end id, as unsigned 32-bit integers
-            data = np.insert(ids.astype("<u4"), bounds[1:], np.uint32(end_id)).tobytes()
-            first = np.where(lengths <= capacity, lengths, np.where(lengths % capacity, lengths % capacity, capacity))
-            n = 1 + (lengths - first) // capacity
-            of = np.repeat(np.arange(len(lengths)), n)
-            piece = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            start = np.where(piece > 0, first[of] + (piece - 1) * capacity, 0)
-            length = np.where(piece > 0, capacity, first[of])
-            at = 4 * ((bounds[:-1] + np.arange(len(lengths)))[of] + start)
-            crc = [zlib.crc32(data[a:z]) for a, z in zip(at.tolist(), (at + 4 * length).tolist())]
-            columns = [batch.column(0).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield one(batch)
+            give_back()  # else what a batch took stays with the worker, besides the table of units
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -191,6 +191,24 @@ def test_long_texts_pass_the_span(spark):
         assert ids == ids_of(text, 0)[:-1].astype("<u2").tobytes()
 
 
+def test_an_encoder_takes_bounded_memory():
+    import tracemalloc
+
+    rng = random.Random(5)
+    texts = pa.array(["".join(rng.choices("abcdefgh ", k=4000)) for _ in range(500)])
+    e = bpe.Encoder(bpe.default_path())
+    assert e.rows.nbytes <= 32 * e.slots
+    tracemalloc.start()
+    try:
+        for _ in range(2):  # units that are new, and units that are known
+            before = tracemalloc.get_traced_memory()[0]
+            tracemalloc.reset_peak()
+            e.column(texts)
+            assert tracemalloc.get_traced_memory()[1] - before < 45_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_one_key_may_hold_most_rows(spark):
     rng = random.Random(4)
     rows = [(None if i % 3 else 7, prose(rng, 30)) for i in range(300)] + [(i, "x") for i in range(20)]
